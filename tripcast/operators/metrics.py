@@ -122,7 +122,7 @@ def window_stats(trips: DataFrame, g: Grain, rules: Rules = DEFAULT_RULES,
             "bucket", "dimension", "trips", "passengers", "distance", "revenue",
             F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("k"),
         ).select(
-            F.timestamp_micros(F.unix_micros("bucket") - F.col("k") * F.lit(g.slide_seconds * 1_000_000))
+            F.timestamp_micros(F.unix_micros("bucket") - F.col("k").cast("bigint") * F.lit(g.slide_seconds * 1_000_000))
             .alias("window_start"),
             "dimension", "trips", "passengers", "distance", "revenue")
         stats = fanned.groupBy("window_start", "dimension").agg(*_resum()).select(

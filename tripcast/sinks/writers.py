@@ -42,8 +42,7 @@ def dedupe_rejected(rejected: DataFrame) -> DataFrame:
     with partial aggregation for a payload repeated millions of times.
     """
     keyed = with_payload_key(rejected)
-    return keyed.groupBy("topic", "payload_md5", "raw_payload", "reason").agg().select(
-        "topic", "reason", "raw_payload", "payload_md5")
+    return keyed.select("topic", "reason", "raw_payload", "payload_md5").distinct()
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
