@@ -108,3 +108,19 @@ def materialize(df: DataFrame) -> DataFrame:
     """Cut lineage with a reliable checkpoint in the shared folder."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin repartition of a batch input that arrives in too few partitions.
+
+    Per-row work (JSON parsing, rule evaluation) runs in the scan's tasks; a
+    source with fewer splits than the cluster has cores (one unsplittable
+    file, a topic with one partition) would leave cores idle. Wide inputs
+    and streams are returned unchanged.
+    """
+    if df.isStreaming:
+        return df
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)

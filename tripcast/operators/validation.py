@@ -1,14 +1,15 @@
 """Parse-or-dead-letter and event validation.
 
-One projection parses the JSON text into a VARIANT and derives the first
-failing rule as ``reason``; valid and rejected rows are two filters on it.
+One projection parses the JSON text into a VARIANT once and derives the
+first failing rule as ``reason``; valid and rejected rows are split from it
+with a generator (see ``_split``).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tripcast.config import DEFAULT_RULES, Rules
+from tripcast.config import DEFAULT_RULES, Rules, spread
 from tripcast.functions import jsonfn as J
 from tripcast.functions.timefn import parse_iso_timestamp
 
@@ -50,7 +51,7 @@ def parse_events(records: DataFrame, event_type: str, topic: str | None = None,
     if topic is None:
         topic = rules.pickup_topic if event_type == "pickup" else rules.dropoff_topic
     fields = PICKUP_FIELDS if event_type == "pickup" else DROPOFF_FIELDS
-    parsed = records.select(*keep, F.col("value").alias("raw_payload"),
+    parsed = spread(records).select(*keep, F.col("value").alias("raw_payload"),
                             J.strict_parse_json(F.col("value")).alias("_obj"))
     obj = F.col("_obj")
     members = parsed.select(*keep, "raw_payload", "_obj",
@@ -72,14 +73,25 @@ def parse_events(records: DataFrame, event_type: str, topic: str | None = None,
     )
 
 
+def _split(parsed: DataFrame, keep_row: Column, columns: list[str]) -> DataFrame:
+    """Rows where ``keep_row`` holds, without a Filter node.
+
+    A filter on ``reason`` would be pushed below the parsing projections with
+    the JSON parse copied into every rule it references; a generator over a
+    one-element (or NULL) array selects the same rows and parses once.
+    """
+    return parsed.select(F.inline(F.when(keep_row, F.array(F.struct(*[F.col(c) for c in columns])))))
+
+
 def valid_events(parsed: DataFrame) -> DataFrame:
     """Events that passed every rule, typed (V8)."""
-    return parsed.where(F.col("reason").isNull()).drop("reason", "raw_payload")
+    cols = [c for c in parsed.columns if c not in ("reason", "raw_payload")]
+    return _split(parsed, F.col("reason").isNull(), cols)
 
 
 def rejected_events(parsed: DataFrame) -> DataFrame:
     """Dead-letter records: topic, reason, raw_payload (V8)."""
-    return parsed.where(F.col("reason").isNotNull()).select("topic", "reason", "raw_payload")
+    return _split(parsed, F.col("reason").isNotNull(), ["topic", "reason", "raw_payload"])
 
 
 def pickups(parsed: DataFrame) -> DataFrame:

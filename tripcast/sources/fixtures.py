@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tripcast.config import DEFAULT_RULES, Rules
+from tripcast.config import DEFAULT_RULES, Rules, spread
 from tripcast.functions.timefn import iso_string
 from tripcast.operators.eventlog import dropoff_payload, pickup_payload, trip_events
 from tripcast.sources.zones import zones_from_nations
@@ -124,7 +124,7 @@ def damaged_dropoff_payload() -> Column:
 
 def event_log_fixture(spark: SparkSession, sf_dir: str, rules: Rules = DEFAULT_RULES) -> DataFrame:
     """Fixture A2: the event log (topic, key, event_time, kind_rank, value) of fixture A."""
-    trips = trip_fixture(load_table(spark, sf_dir, "events"))
+    trips = trip_fixture(spread(load_table(spark, sf_dir, "events")))
     return trip_events(
         trips, rules,
         pickup_value=damaged_pickup_payload(), dropoff_value=damaged_dropoff_payload(),
