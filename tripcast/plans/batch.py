@@ -88,3 +88,54 @@ def build_from_fixture(spark: SparkSession, sf_dir: str, rules: Rules = DEFAULT_
     pick = log.where(F.col("topic") == rules.pickup_topic).select("key", "value")
     drop = log.where(F.col("topic") == rules.dropoff_topic).select("key", "value")
     return build(pick, drop, fixtures.zone_fixture(spark, sf_dir), rules, close, materialize)
+
+
+# ---------------------------------------------------------------- jobs
+
+def run_trip_job(pickup_records: DataFrame, dropoff_records: DataFrame, zones: DataFrame, out_dir: str,
+                 rules: Rules = DEFAULT_RULES, close: str = "watermark") -> TripTables:
+    """Batch run of the whole job into ``out_dir``: aggregates (upsert), invalid_trips and
+    rejected_events (insert-ignore). Re-running with the same or more input is idempotent."""
+    import os
+
+    from tripcast.sinks import writers
+
+    t = build(pickup_records, dropoff_records, zones, rules, close, materialize=True)
+    writers.append_new(writers.first_invalid(t.trips), os.path.join(out_dir, "invalid_trips"), ["trip_id"])
+    writers.append_new(writers.dedupe_rejected(t.rejected), os.path.join(out_dir, "rejected_events"),
+                       ["topic", "payload_md5"])
+    writers.upsert_partitions(t.aggregates(), os.path.join(out_dir, "aggregates"))
+    return t
+
+
+def run_cleaning_job(raw: DataFrame, zones: DataFrame, raw_trips_path: str,
+                     rules: Rules = DEFAULT_RULES) -> DataFrame | None:
+    """Clean raw trip rows into the raw_trips table (V1-V4, K-S5).
+
+    Refuses (returns None) when the table already has rows; otherwise
+    returns the load summary (status, reason, rows), computed from the same
+    checkpointed cleaning result that was written.
+    """
+    from tripcast.operators import cleaning
+    from tripcast.sinks import writers
+
+    cleaned = _materialize(cleaning.clean_trips(raw, zones, rules))
+    if not writers.append_if_empty(cleaning.accepted_trips(cleaned), raw_trips_path):
+        return None
+    return cleaning.load_summary(cleaned)
+
+
+def run_publish_job(raw_trips: DataFrame, event_log_path: str, rules: Rules = DEFAULT_RULES) -> bool:
+    """Derive the event log of a raw_trips table and publish it (O2-O4, K-S8, K-S9).
+
+    Trip ids come from each row's file position (O3), so a re-run derives
+    the same ids. The log is written in replay order, partitioned by topic;
+    a non-empty target is refused.
+    """
+    from tripcast.operators import eventlog
+    from tripcast.sinks import writers
+
+    with_ids = eventlog.assign_trip_ids(raw_trips)
+    log = eventlog.order_event_log(eventlog.trip_events(with_ids, rules))
+    return writers.append_if_empty(log.select("topic", "key", "value", "event_time"), event_log_path,
+                                   partition_by=("topic",))
