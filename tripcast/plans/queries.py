@@ -129,6 +129,12 @@ def o2_event_log(spark, sf):
     return log.select("topic", "key", to_ntz(F.col("event_time")).alias("event_time"), "kind_rank", "value")
 
 
+def o3_trip_ids(spark, sf):
+    """Stable surrogate id per source row (file + row position); no SQL check: ids embed file paths."""
+    li = eventlog.assign_trip_ids(fixtures.load_table(spark, sf, "lineitem"))
+    return li.select("l_orderkey", "l_linenumber", "trip_id")
+
+
 def v6_pickup_reasons(spark, sf):
     t = _parsed(spark, sf)
     return t.parsed_pickups.select("raw_payload", "reason")
@@ -302,6 +308,7 @@ def queries() -> dict[str, Query]:
         "j5_zone_semi": j5_zone_semi,
         "j5_zone_anti": j5_zone_anti,
         "o2_event_log": o2_event_log,
+        "o3_trip_ids": o3_trip_ids,
         "v6_pickup_reasons": v6_pickup_reasons,
         "v6_dropoff_reasons": v6_dropoff_reasons,
         "v6_reason_counts": v6_reason_counts,
