@@ -341,4 +341,14 @@ def queries() -> dict[str, Query]:
         "r4_progress": r4_progress,
         "r5_reconciliation": r5_reconciliation,
     })
-    return out
+    return {name: _with_settings(fn) for name, fn in out.items()}
+
+
+def _with_settings(fn: Query) -> Query:
+    """Pin the settings results depend on (UTC, duplicate JSON keys) on any session."""
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        apply_session_settings(spark)
+        return fn(spark, sf)
+    run.__name__ = getattr(fn, "__name__", "query")
+    run.__doc__ = fn.__doc__
+    return run
