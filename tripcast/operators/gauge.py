@@ -41,14 +41,22 @@ def trip_intervals(cogrouped: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFr
     )
 
 
-def open_trips(cogrouped: DataFrame, rules: Rules = DEFAULT_RULES, bound: Column | None = None) -> DataFrame:
-    """metric_name='open_trips', window_start=t-3h, window_end=t, dimension='all', value."""
+def open_trips(cogrouped: DataFrame, rules: Rules = DEFAULT_RULES, bound: Column | None = None,
+               start: Column | None = None) -> DataFrame:
+    """metric_name='open_trips', window_start=t-3h, window_end=t, dimension='all', value.
+
+    ``start`` (a timestamp) sets the first tick instead of the earliest pickup,
+    for recomputing a later slice of an already started grid.
+    """
     tick_us = rules.gauge_tick_seconds * 1_000_000
     span_us = rules.gauge_window_seconds * 1_000_000
     block_us = tick_us * rules.gauge_block_ticks
     iv = trip_intervals(cogrouped, rules)
 
-    first = iv.agg(F.min("start_tick")).scalar()
+    if start is not None:
+        first = _ceil_tick(F.unix_micros(start), tick_us)
+    else:
+        first = iv.agg(F.min("start_tick")).scalar()
     if bound is not None:
         last = _floor_tick(F.unix_micros(bound) - F.lit(1), tick_us)
     else:

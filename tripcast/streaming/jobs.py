@@ -27,6 +27,7 @@ from tripcast.operators import enrich, metrics as M, validation as V
 from tripcast.schemas import TRIPS
 from tripcast.sinks import writers
 from tripcast.sources.events import TopicSource, read_topic_stream
+from tripcast.streaming.gauge import gauge_sink
 from tripcast.streaming.join_processor import TripJoinProcessor
 
 
@@ -133,6 +134,19 @@ def start_trip_query(spark: SparkSession, pickup_src: TopicSource, dropoff_src:
     return [q_trips, q_rej]
 
 
+def start_gauge_query(spark: SparkSession, pickup_src: TopicSource, dropoff_src: TopicSource, out_dir: str,
+                      rules: Rules = DEFAULT_RULES, trigger: dict | None = None,
+                      checkpoint_root: str | None = None) -> StreamingQuery:
+    """Lifecycle signals (T13) -> open-trips gauge ticks upserted into aggregates (G1)."""
+    root = checkpoint_root or os.path.join(checkpoint_dir(spark), "streams")
+    trigger = trigger or {"processingTime": "60 seconds"}
+    pp = V.parse_events(read_topic_stream(spark, pickup_src), "pickup", pickup_src.topic, rules)
+    dp = V.parse_events(read_topic_stream(spark, dropoff_src), "dropoff", dropoff_src.topic, rules)
+    signals = V.lifecycle(V.pickups(pp), V.dropoffs(dp))
+    return (signals.writeStream.foreachBatch(gauge_sink(out_dir, rules))
+            .option("checkpointLocation", os.path.join(root, "gauge")).trigger(**trigger).start())
+
+
 def start_metric_queries(spark: SparkSession, zones: DataFrame, out_dir: str, rules: Rules = DEFAULT_RULES,
                          trigger: dict | None = None, checkpoint_root: str | None = None) -> list[StreamingQuery]:
     """One query per grain over the trips table, upserting the aggregates table (U3, K-S3)."""
