@@ -111,12 +111,14 @@ def materialize(df: DataFrame) -> DataFrame:
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin repartition of a batch input that arrives in too few partitions.
+    """Round-robin repartition of a batch source that arrives in too few partitions.
 
     Per-row work (JSON parsing, rule evaluation) runs in the scan's tasks; a
     source with fewer splits than the cluster has cores (one unsplittable
     file, a topic with one partition) would leave cores idle. Wide inputs
-    and streams are returned unchanged.
+    and streams are returned unchanged. Apply it to a source scan: counting
+    partitions of a scan only plans its splits, while on a derived plan it
+    would run the plan's broadcasts or shuffles.
     """
     if df.isStreaming:
         return df

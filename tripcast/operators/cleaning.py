@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tripcast.config import DEFAULT_RULES, Rules, spread
+from tripcast.config import DEFAULT_RULES, Rules
 from tripcast.functions.numeric import truncate_int
 from tripcast.functions.timefn import coerce_timestamp
 from tripcast.sources.zones import broadcast_if_small, valid_zone_ids
@@ -29,7 +29,7 @@ def clean_trips(raw: DataFrame, zones: DataFrame, rules: Rules = DEFAULT_RULES)
     ids = broadcast_if_small(valid_zone_ids(zones), rules.broadcast_max_rows)
     pick_ids = ids.select(F.col("location_id").alias("_pz_id"), F.lit(True).alias("_pz_ok"))
     drop_ids = ids.select(F.col("location_id").alias("_dz_id"), F.lit(True).alias("_dz_ok"))
-    base = spread(raw).select(
+    base = raw.select(
         *raw.columns,
         coerce_timestamp(F.col("pickup_datetime").cast("string")).alias("pickup_ts"),
         coerce_timestamp(F.col("dropoff_datetime").cast("string")).alias("dropoff_ts"),

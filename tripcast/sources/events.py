@@ -11,6 +11,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tripcast.config import spread
+
 
 @dataclass(frozen=True)
 class TopicSource:
@@ -36,9 +38,9 @@ def _kafka_options(src: TopicSource) -> dict[str, str]:
 def read_topic(spark: SparkSession, src: TopicSource) -> DataFrame:
     """Bounded read of a topic: key, value (batch)."""
     if src.format == "kafka":
-        raw = spark.read.format("kafka").options(**_kafka_options(src)).load()
+        raw = spread(spark.read.format("kafka").options(**_kafka_options(src)).load())
         return raw.select(F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"))
-    return spark.read.text(src.path).select(F.lit(None).cast("string").alias("key"), "value")
+    return spread(spark.read.text(src.path)).select(F.lit(None).cast("string").alias("key"), "value")
 
 
 def read_topic_stream(spark: SparkSession, src: TopicSource) -> DataFrame:

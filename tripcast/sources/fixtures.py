@@ -147,7 +147,7 @@ CLEANING_VALID_ZONE_LIMIT = 20
 def raw_trip_fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fixture B: raw trip rows shaped like the trip CSV files (S2 schema)."""
     orders = load_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    lineitem = load_table(spark, sf_dir, "lineitem").select(
+    lineitem = spread(load_table(spark, sf_dir, "lineitem")).select(
         "l_orderkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_shipdate")
     customer = load_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     supplier = load_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
