@@ -51,8 +51,20 @@ def main() -> None:
         times[label] = round(time.perf_counter() - t0, 3)
     total = round(sum(times.values()), 3)
     sf = os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")
+    # input sizes from parquet footers (no Spark job): raw trip rows = lineitem rows,
+    # events = pickup + dropoff payloads derived from the events table
+    import pyarrow.parquet as pq
+    lineitem = pq.ParquetFile(f"{sf_dir}/lineitem.parquet").metadata.num_rows
+    events = 2 * pq.ParquetFile(f"{sf_dir}/events.parquet").metadata.num_rows
+    rates = {
+        "clean_rows_per_s": round(lineitem / times["clean_rows"]),
+        "validate_events_per_s": round(events / 2 / times["validate_pickups"]),
+        "trip_join_events_per_s": round(events / times["trip_join"]),
+        "all_aggregates_events_per_s": round(events / times["all_aggregates"]),
+    }
     print(json.dumps({"metric": "headline_total", "value": total, "unit": "sec",
-                      "queries": times, "sf": sf}))
+                      "queries": times, "sf": sf, "input_rows": {"raw_trips": lineitem, "events": events},
+                      "rates": rates}))
     spark.stop()
 
 
