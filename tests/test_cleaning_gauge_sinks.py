@@ -133,3 +133,12 @@ def test_guarded_append_refuses_non_empty(spark):
     assert writers.append_if_empty(df, path) is True
     assert writers.append_if_empty(df, path) is False
     assert spark.read.parquet(path).count() == 3
+
+
+def test_epoch_write_skips_committed_replay(spark):
+    path = _fresh(spark, "trips")
+    df = spark.range(5)
+    assert writers.write_epoch(df, path, 0) is True
+    assert writers.write_epoch(df, path, 0) is False  # replay of a committed epoch
+    assert writers.write_epoch(spark.range(2), path, 1) is True
+    assert spark.read.parquet(path).count() == 7

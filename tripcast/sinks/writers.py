@@ -120,6 +120,23 @@ def append_new(df: DataFrame, path: str, keys: Sequence[str], order: Sequence[st
     batch.write.mode("append").parquet(path)
 
 
+def write_epoch(df: DataFrame, path: str, epoch_id: int) -> bool:
+    """Write one micro-batch to ``path/epoch=<id>`` unless that epoch was committed already.
+
+    A replayed epoch carries the same rows, so a committed folder (job commit
+    marker present) means there is nothing to do; a folder left by a failed
+    attempt is overwritten. Cost is proportional to the batch, not the table.
+    """
+    target = os.path.join(path, f"epoch={epoch_id}")
+    jvm = df.sparkSession._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(os.path.join(target, "_SUCCESS"))
+    fs = hpath.getFileSystem(df.sparkSession._jsc.hadoopConfiguration())
+    if fs.exists(hpath):
+        return False
+    df.write.mode("overwrite").parquet(target)
+    return True
+
+
 def upsert_partitions(df: DataFrame, path: str, keys: Sequence[str] = AGGREGATE_KEYS,
                       partition_by: Sequence[str] = ("metric_name", "window_date"),
                       order: Sequence[str] | None = None) -> None:

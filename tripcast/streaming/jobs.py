@@ -96,8 +96,8 @@ def _trip_sinks(out_dir: str):
     def write(batch: DataFrame, epoch_id: int) -> None:
         batch.persist()
         trips = batch.select(*TRIPS.fieldNames())
-        # the trips table is keyed by (trip_id, invalid_reason, event_time): a replayed batch adds nothing
-        writers.append_new(trips, os.path.join(out_dir, "trips"), ["trip_id", "invalid_reason", "event_time"])
+        # one folder per epoch: a replayed batch finds its committed folder and adds nothing
+        writers.write_epoch(trips, os.path.join(out_dir, "trips"), epoch_id)
         writers.append_new(writers.first_invalid(trips), os.path.join(out_dir, "invalid_trips"), ["trip_id"],
                            order=["event_time", "invalid_reason"])
         batch.unpersist()
