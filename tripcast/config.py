@@ -105,9 +105,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint in the shared folder."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Cut lineage by writing ``df`` as a Parquet table in the shared checkpoint folder.
+
+    One write job (an RDD checkpoint would run a second job to write its
+    files), and readers of the table get column pruning and pushed filters.
+    A lost executor after the write costs nothing: the table is on shared
+    storage.
+    """
+    import uuid
+
+    path = scratch_path(df.sparkSession, f"tables/{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
