@@ -17,7 +17,6 @@ is keyed and idempotent.
 from __future__ import annotations
 
 import os
-from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -78,20 +77,6 @@ def _sliding_stats(trips: DataFrame, grain: M.Grain, rules: Rules) -> DataFrame:
              "dimension", "trips", "passengers", "distance", "revenue")
 
 
-@dataclass
-class StreamingJob:
-    queries: list[StreamingQuery]
-    out_dir: str
-
-    def await_all(self) -> None:
-        for q in self.queries:
-            q.awaitTermination()
-
-    def stop(self) -> None:
-        for q in self.queries:
-            q.stop()
-
-
 def _trip_sinks(out_dir: str):
     def write(batch: DataFrame, epoch_id: int) -> None:
         batch.persist()

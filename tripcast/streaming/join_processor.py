@@ -29,7 +29,6 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType, TimestampType
 
 from tripcast.config import DEFAULT_RULES, Rules
-from tripcast.schemas import TRIPS
 
 PICKUP_STATE = StructType([
     StructField("t", TimestampType()),
@@ -43,17 +42,6 @@ DROPOFF_STATE = StructType([
     StructField("total_amount", DoubleType()),
 ])
 
-# input rows: trip_id, side ("pickup"/"dropoff"), event_time, zone, passenger_count, trip_distance, total_amount
-JOIN_INPUT = StructType([
-    StructField("trip_id", TRIPS["trip_id"].dataType),
-    StructField("side", TRIPS["invalid_reason"].dataType),
-    StructField("event_time", TimestampType()),
-    StructField("zone", IntegerType()),
-    StructField("passenger_count", DoubleType()),
-    StructField("trip_distance", DoubleType()),
-    StructField("total_amount", DoubleType()),
-])
-
 _EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
 
 
