@@ -38,7 +38,8 @@ HEADLINE = [
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    spark = get_session(f"local[{cpus}]", app_name="tripcast-bench", shuffle_partitions=int(cpus))
+    spark = get_session(f"local[{cpus}]", app_name="tripcast-bench", shuffle_partitions=int(cpus),
+                        local_memory=os.environ.get("BENCH_MEMORY", "8g"))
     spark.sparkContext.setLogLevel("ERROR")
     qs = Q.queries()
     # warm-up: JVM, parquet footers, code generation of the shared parse

@@ -47,7 +47,7 @@ NIGHT = "night"
 
 
 def get_session(master: str | None = None, app_name: str = "tripcast",
-                shuffle_partitions: int | None = None) -> SparkSession:
+                shuffle_partitions: int | None = None, local_memory: str | None = None) -> SparkSession:
     """Return (or create) a session with the settings the operators rely on.
 
     On a cluster the master, memory and checkpoint folder come from the
@@ -70,6 +70,9 @@ def get_session(master: str | None = None, app_name: str = "tripcast",
     )
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if local_memory and master and master.startswith("local"):
+        # local mode runs everything in the driver JVM; a cluster sets its own memory
+        builder = builder.config("spark.driver.memory", local_memory)
     spark = builder.getOrCreate()
     apply_session_settings(spark)
     return spark
