@@ -162,6 +162,13 @@ def upsert_partitions(df: DataFrame, path: str, keys: Sequence[str] = AGGREGATE_
     staged = spark.read.parquet(stage)
     (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*partition_by).parquet(path))
+    _delete(spark, stage)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    """Remove a staging folder of ours from the (shared) file system."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def publish_topic(df: DataFrame, topic: str, bootstrap_servers: str | None = None,
