@@ -134,7 +134,9 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """
     if df.isStreaming:
         return df
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # no RDD access (e.g. a Spark Connect session): leave the input as is
         return df
-    return df.repartition(target)
+    return df if current >= target else df.repartition(target)
