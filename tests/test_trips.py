@@ -3,6 +3,7 @@
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import make_dropoff, make_pickup, records
 from tripcast.operators import enrich, trips as T, validation as V
@@ -105,3 +106,19 @@ def test_hot_trip_id_is_one_trip(spark, n_dupes):
     pickups = [make_pickup(trip_id="", pickup_datetime=f"2022-01-01T10:{i % 60:02d}:00") for i in range(n_dupes)]
     out = run(spark, pickups, [make_dropoff(trip_id="", dropoff_datetime="2022-01-01T11:30:00")])
     assert len(out) == 1
+
+
+def test_hot_trip_id_third_of_all_events(spark):
+    """One trip id holding a third of 60,000 events: reduced map-side, one result per side."""
+    n = 60_000
+    ev = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit("")).otherwise(F.col("id").cast("string")).alias("trip_id"),
+        (F.lit(1_640_995_200) + F.col("id")).cast("timestamp").alias("event_time"),
+    )
+    p = ev.select("trip_id", "event_time", F.lit(1).alias("pickup_zone"), F.lit(1.0).alias("passenger_count"))
+    d = ev.select("trip_id", (F.col("event_time") + F.expr("INTERVAL 10 MINUTES")).alias("event_time"),
+                  F.lit(2).alias("dropoff_zone"), F.lit(1.0).alias("trip_distance"), F.lit(5.0).alias("total_amount"))
+    trips = T.join_trips(p, d, close="all")
+    assert trips.count() == n - n // 3 + 1
+    hot = trips.where(F.col("trip_id") == "").collect()
+    assert len(hot) == 1 and hot[0].duration_seconds == 600.0  # latest pickup with latest dropoff
