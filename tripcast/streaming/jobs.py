@@ -3,9 +3,10 @@
 Query A reads both topics, validates (same projection as batch), puts a
 30 s watermark on each valid stream after validation (rejected messages
 never move event time), unions them and runs the stateful trip join. Its
-``foreachBatch`` writes the trips table (append), invalid_trips
-(insert-ignore on trip_id) and rejected_events (insert-ignore on topic +
-md5 of the payload). Metric queries read the trips table as a stream,
+``foreachBatch`` writes the trips table (one committed folder per epoch)
+and invalid_trips (insert-ignore on trip_id); rejected_events are
+de-duplicated on topic + md5 of the payload by the state store and written
+one folder per epoch. Metric queries read the trips table as a stream,
 put their own watermark on the trip event time and aggregate each grain
 in append mode; their ``foreachBatch`` upserts into the aggregates table.
 
@@ -91,8 +92,8 @@ def _trip_sinks(out_dir: str):
 
 def _rejected_sink(out_dir: str):
     def write(batch: DataFrame, epoch_id: int) -> None:
-        writers.append_new(writers.dedupe_rejected(batch), os.path.join(out_dir, "rejected_events"),
-                           ["topic", "payload_md5"])
+        # rows arrive de-duplicated by the query's state store; a replayed epoch is skipped
+        writers.write_epoch(batch, os.path.join(out_dir, "rejected_events"), epoch_id)
     return write
 
 
@@ -113,7 +114,9 @@ def start_trip_query(spark: SparkSession, pickup_src: TopicSource, dropoff_src:
     trips = stream_trips(V.pickups(pp), V.dropoffs(dp), rules)
     q_trips = (trips.writeStream.foreachBatch(_trip_sinks(out_dir))
                .option("checkpointLocation", os.path.join(root, "trips")).trigger(**trigger).start())
-    rejected = V.all_rejected(pp, dp)
+    # insert-ignore on (topic, md5(payload)): equal keys carry equal rows, so the streaming
+    # de-duplication (keys in the state store) keeps exactly what the table key would keep
+    rejected = writers.with_payload_key(V.all_rejected(pp, dp)).dropDuplicates(["topic", "payload_md5"])
     q_rej = (rejected.writeStream.foreachBatch(_rejected_sink(out_dir))
              .option("checkpointLocation", os.path.join(root, "rejected")).trigger(**trigger).start())
     return [q_trips, q_rej]
