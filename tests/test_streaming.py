@@ -47,6 +47,8 @@ def streamed(spark):
         q.awaitTermination(600)
     gq = jobs.start_gauge_query(spark, pick, drop, out, R, trigger=trig, checkpoint_root=os.path.join(work, "ckpt"))
     gq.awaitTermination(600)
+    iq = jobs.start_invalid_query(spark, out, R, trigger=trig, checkpoint_root=os.path.join(work, "ckpt"))
+    iq.awaitTermination(600)
     zones = fixtures.zone_fixture(spark, SF)
     mq = jobs.start_metric_queries(spark, zones, out, R, trigger=trig, checkpoint_root=os.path.join(work, "ckpt"))
     for q in mq:
@@ -111,3 +113,13 @@ def test_streaming_gauge_equals_batch(spark, streamed):
     w = {r.window_end: r.value for r in want.collect()}
     assert set(g) == set(w)
     assert g == w
+
+
+def test_streaming_invalid_trips_first_emitted(spark, streamed):
+    from tripcast.sinks import writers
+    work, out = streamed
+    got = spark.read.parquet(os.path.join(out, "invalid_trips")).select("trip_id", "invalid_reason")
+    streamed_trips = spark.read.parquet(os.path.join(out, "trips")).drop("epoch")
+    want = writers.first_invalid(streamed_trips).select("trip_id", "invalid_reason")
+    assert got.count() == got.select("trip_id").distinct().count()
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))

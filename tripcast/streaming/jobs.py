@@ -3,10 +3,10 @@
 Query A reads both topics, validates (same projection as batch), puts a
 30 s watermark on each valid stream after validation (rejected messages
 never move event time), unions them and runs the stateful trip join. Its
-``foreachBatch`` writes the trips table (one committed folder per epoch)
-and invalid_trips (insert-ignore on trip_id); rejected_events are
-de-duplicated on topic + md5 of the payload by the state store and written
-one folder per epoch. Metric queries read the trips table as a stream,
+``foreachBatch`` writes the trips table (one committed folder per epoch);
+rejected_events are de-duplicated on topic + md5 of the payload by the
+state store and written one folder per epoch. ``start_invalid_query``
+keeps the first invalid row per trip id (state store) for invalid_trips. Metric queries read the trips table as a stream,
 put their own watermark on the trip event time and aggregate each grain
 in append mode; their ``foreachBatch`` upserts into the aggregates table.
 
@@ -28,7 +28,7 @@ from tripcast.schemas import TRIPS
 from tripcast.sinks import writers
 from tripcast.sources.events import TopicSource, read_topic_stream
 from tripcast.streaming.gauge import gauge_sink
-from tripcast.streaming.join_processor import TripJoinProcessor
+from tripcast.streaming.join_processor import FirstInvalidProcessor, TripJoinProcessor
 
 
 def watermarked(events: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
@@ -80,13 +80,14 @@ def _sliding_stats(trips: DataFrame, grain: M.Grain, rules: Rules) -> DataFrame:
 
 def _trip_sinks(out_dir: str):
     def write(batch: DataFrame, epoch_id: int) -> None:
-        batch.persist()
-        trips = batch.select(*TRIPS.fieldNames())
         # one folder per epoch: a replayed batch finds its committed folder and adds nothing
-        writers.write_epoch(trips, os.path.join(out_dir, "trips"), epoch_id)
-        writers.append_new(writers.first_invalid(trips), os.path.join(out_dir, "invalid_trips"), ["trip_id"],
-                           order=["event_time", "invalid_reason"])
-        batch.unpersist()
+        writers.write_epoch(batch.select(*TRIPS.fieldNames()), os.path.join(out_dir, "trips"), epoch_id)
+    return write
+
+
+def _epoch_sink(path: str):
+    def write(batch: DataFrame, epoch_id: int) -> None:
+        writers.write_epoch(batch, path, epoch_id)
     return write
 
 
@@ -122,6 +123,18 @@ def start_trip_query(spark: SparkSession, pickup_src: TopicSource, dropoff_src:
     return [q_trips, q_rej]
 
 
+def start_invalid_query(spark: SparkSession, out_dir: str, rules: Rules = DEFAULT_RULES,
+                        trigger: dict | None = None, checkpoint_root: str | None = None) -> StreamingQuery:
+    """invalid_trips from the trips table: first emitted row per trip_id (K-S2)."""
+    root = checkpoint_root or os.path.join(checkpoint_dir(spark), "streams")
+    trigger = trigger or {"processingTime": "10 seconds"}
+    trips = spark.readStream.schema(TRIPS).parquet(os.path.join(out_dir, "trips"))
+    first = trips.where(~F.col("is_valid")).groupBy("trip_id").transformWithState(
+        FirstInvalidProcessor(), TRIPS, "Append", "None")
+    return (first.drop("is_valid").writeStream.foreachBatch(_epoch_sink(os.path.join(out_dir, "invalid_trips")))
+            .option("checkpointLocation", os.path.join(root, "invalid")).trigger(**trigger).start())
+
+
 def start_gauge_query(spark: SparkSession, pickup_src: TopicSource, dropoff_src: TopicSource, out_dir: str,
                       rules: Rules = DEFAULT_RULES, trigger: dict | None = None,
                       checkpoint_root: str | None = None) -> StreamingQuery:
