@@ -83,8 +83,9 @@ dpay{s} AS (
     CASE r WHEN 10 THEN {_dropoff_json(dist="'-1.0'")} WHEN 11 THEN {_dropoff_json(amt="'0.0'")}
       WHEN 12 THEN {_dropoff_json(dist="'true'")} WHEN 13 THEN {_dropoff_json(zone="'5.0'")}
       WHEN 14 THEN {_dropoff_json(zone="'true'")} ELSE {_dropoff_json()} END AS raw_payload,
-    CASE WHEN r IN (10, 12) THEN 'invalid_trip_distance' WHEN r = 11 THEN 'invalid_total_amount'
-      WHEN r = 13 THEN 'invalid_zone' END AS reason
+    CASE WHEN r = 13 THEN 'invalid_zone'
+      WHEN r IN (10, 12) OR trip_distance <= 0 THEN 'invalid_trip_distance'
+      WHEN r = 11 OR total_amount <= 0 THEN 'invalid_total_amount' END AS reason
   FROM a{s} WHERE has_dropoff),
 vp{s} AS (SELECT trip_id, pickup_ts AS p_t, pickup_zone AS p_zone, CAST(passenger_count AS DOUBLE) AS p_pc
         FROM ppay{s} WHERE reason IS NULL),
