@@ -107,8 +107,6 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    import corpus_pipeline
-
     own = (op1_substring_dedup, op2_packing, op3_quality_rules, op4_minhash_dedup, op5_sentencepiece, op6_line_dedup, op7_embedding_dedup,
            op8_language_id, op9_sharding, op10_chat_formatting)
-    return {f.__name__: f for f in own} | {"pipeline": corpus_pipeline.run}
+    return {f.__name__: f for f in own}
