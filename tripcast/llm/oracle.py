@@ -34,12 +34,12 @@ parts AS (SELECT doc_id, l, p, regexp_extract_all(l, '{_WORD}') AS ws, row_numbe
 rules AS (SELECT *, len(ws) AS n,
   100 * (length(l) - length(regexp_replace(l, '[!?#*$%&|<>=_~^@{{}}\[\]\\/+]', '', 'g'))) >= 30 * len(ws) AS marks,
   len(ws) >= 10 AND NOT regexp_matches(ws[-1], '([.!?"'')\]:;]|[^\x00-\x7F])$') AS open,
-  100 * len(list_filter(ws, x -> x IN ('|', '>', '-', '*', '/'))) >= 20 * len(ws) AS menu,
+  100 * len(list_filter(ws, lambda x: x IN ('|', '>', '-', '*', '/'))) >= 20 * len(ws) AS menu,
   regexp_matches(l, '(?i){_BOILER}') AS boiler FROM parts),
 failed AS (SELECT *, n > 0 AND (marks OR open OR menu OR boiler) AS bad FROM rules),
 sums AS (SELECT doc_id, count(*) FILTER (n > 0 AND turn > 1) AS n_dup_lines, coalesce(sum(n) FILTER (bad), 0)::BIGINT AS n_lost_words,
   sha256(coalesce(string_agg(l, chr(10) ORDER BY p) FILTER (NOT bad), '')) AS clean_sha256 FROM failed GROUP BY doc_id),
-base AS (SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(list_sum(list_transform(ws, x -> length(x))), 0)::BIGINT AS word_chars,
+base AS (SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0)::BIGINT AS word_chars,
   (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols FROM lists),
 whole AS (SELECT *, coalesce(n_repeat_words, 0) AS r FROM base LEFT JOIN repeats USING (doc_id) LEFT JOIN sums USING (doc_id)),
 verdict AS (SELECT *, n_words < 10 OR 100 * r > 20 * n_words AS failed FROM whole)
@@ -50,8 +50,8 @@ OP4 = f"""WITH RECURSIVE {_WORDS.replace("coalesce(text, '')", f"translate(coale
 grams AS (SELECT doc_id, i, n, string_agg(w, ' ') OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 4 FOLLOWING) AS g FROM words),
 sets AS (SELECT DISTINCT doc_id, g FROM grams WHERE i + 5 <= n OR (n < 5 AND i = 0)),
 sizes AS (SELECT doc_id, count(*) AS s FROM sets GROUP BY doc_id),
-pairs AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS both FROM sets a JOIN sets b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
-links AS MATERIALIZED (SELECT x, y FROM pairs JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y WHERE 100 * both >= 85 * (p.s + q.s - both)),
+pairs AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS shared FROM sets a JOIN sets b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS MATERIALIZED (SELECT x, y FROM pairs JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y WHERE 100 * shared >= 85 * (p.s + q.s - shared)),
 ways AS MATERIALIZED (SELECT x, y FROM links UNION SELECT y, x FROM links),
 reach(node, low) AS (SELECT x, x FROM ways UNION SELECT w.y, r.low FROM reach r JOIN ways w ON w.x = r.node WHERE r.low < w.y),
 least AS (SELECT node AS doc_id, min(low) AS low FROM reach GROUP BY node)
@@ -65,8 +65,8 @@ marked AS (SELECT doc_id, l, p, k IN (SELECT k FROM often) AS gone FROM keys)
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped, sha256(coalesce(string_agg(l, chr(10) ORDER BY p) FILTER (NOT gone), '')) AS kept_sha256
 FROM marked GROUP BY doc_id"""
 
-OP7 = """WITH RECURSIVE good AS (SELECT vec_id, list_transform(embedding, x -> x::DOUBLE) AS v FROM embeddings
-  WHERE len(embedding) > 0 AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, x -> x <> 0)) > 0),
+OP7 = """WITH RECURSIVE good AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
 links AS MATERIALIZED (SELECT a.vec_id AS x, b.vec_id AS y FROM good a JOIN good b ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.v, b.v) >= 0.95),
 counts AS (SELECT x AS vec_id, count(*) AS n FROM links GROUP BY x),
 reach(node, low) AS (SELECT x, x FROM links UNION SELECT w.y, r.low FROM reach r JOIN links w ON w.x = r.node WHERE r.low < w.y),
