@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,10 +27,6 @@ class Rules:
     pickup_topic: str = "pickup_events"
     dropoff_topic: str = "dropoff_events"
     unknown_borough: str = "Unknown"
-    # exact sums: every summed double is cast to this decimal first
-    sum_type: str = "decimal(18,6)"
-    # largest dimension we accept to broadcast (rows)
-    broadcast_max_rows: int = 1_000_000
 
 
 DEFAULT_RULES = Rules()
@@ -85,19 +80,11 @@ def apply_session_settings(spark: SparkSession) -> None:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder named by the cluster.
-
-    Read from ``spark.checkpoint.dir``; only when it is unset (local tests)
-    a fresh folder under the system temp dir is created and registered.
-    """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    """The shared checkpoint folder that the cluster names in ``spark.checkpoint.dir``."""
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not configured:
-        configured = spark.sparkContext.getCheckpointDir()
-    if not configured:
-        configured = tempfile.mkdtemp(prefix="tripcast-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", configured)
-        spark.sparkContext.setCheckpointDir(configured)
-    elif spark.sparkContext.getCheckpointDir() is None:
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+    if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(configured)
     return configured
 

@@ -6,12 +6,12 @@ from tripcast.functions.timefn import (
     time_of_day, to_ntz,
 )
 from tripcast.functions.numeric import (
-    as_double, exact, is_missing, ratio, ratio_or_zero, truncate_int,
+    ratio, ratio_or_zero, truncate_int,
 )
 
 __all__ = [
     "ISO_TIMESTAMP_PATTERN", "coerce_timestamp", "duration_seconds", "epoch_millis",
     "from_epoch_millis", "iso_string", "iso_week_label", "parse_iso_timestamp",
-    "time_of_day", "to_ntz", "as_double", "exact", "is_missing", "ratio",
+    "time_of_day", "to_ntz", "ratio",
     "ratio_or_zero", "truncate_int",
 ]

@@ -3,14 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
-from pyspark.sql.types import DoubleType, FloatType
-
-
-def is_missing(c: Column, dtype=None) -> Column:
-    """NULL, or NaN for floating columns."""
-    if isinstance(dtype, (DoubleType, FloatType)):
-        return c.isNull() | F.isnan(c)
-    return c.isNull()
 
 
 def truncate_int(c: Column) -> Column:
@@ -18,13 +10,32 @@ def truncate_int(c: Column) -> Column:
     return c.try_cast("int")
 
 
-def exact(c: Column, sum_type: str) -> Column:
-    """Cast a double to a fixed decimal so sums are order independent."""
-    return c.cast(sum_type)
+# decimal in which sums are exact, wide enough for any usual amount or distance
+EXACT_TYPE = "decimal(28,10)"
+_PARTS = ("exact", "float", "is_exact")
+
+
+def sum_parts(name: str, c: Column) -> list[Column]:
+    """Aggregates from which ``summed`` makes the sum of ``c`` (K13); they can be added up again with ``resum_parts``."""
+    as_exact = c.try_cast(EXACT_TYPE)
+    same = F.coalesce(as_exact.cast("double") == c, c.isNull())
+    return [F.try_sum(as_exact).alias(f"{name}_exact"), F.sum(c.cast("double")).alias(f"{name}_float"),
+            F.bool_and(same).alias(f"{name}_is_exact")]
+
+
+def resum_parts(name: str) -> list[Column]:
+    return [F.try_sum(f"{name}_exact").alias(f"{name}_exact"), F.sum(f"{name}_float").alias(f"{name}_float"),
+            F.bool_and(f"{name}_is_exact").alias(f"{name}_is_exact")]
+
+
+def part_names(name: str) -> list[str]:
+    return [f"{name}_{p}" for p in _PARTS]
 
 
-def as_double(c: Column) -> Column:
-    return c.cast("double")
+def summed(name: str) -> Column:
+    """The sum as a double: exact and independent of row order where every value is a decimal of the exact type, else the sum of doubles."""
+    exact = F.col(f"{name}_is_exact") & F.col(f"{name}_exact").isNotNull()
+    return F.when(exact, F.col(f"{name}_exact").cast("double")).otherwise(F.col(f"{name}_float")).alias(name)
 
 
 def ratio(num: Column, den: Column) -> Column:

@@ -2,8 +2,8 @@
 
 The reference validates row by row and inserts one row at a time; here the
 first failing rule is one chained CASE over the whole table, zone
-membership is two lookups into the (size-checked, broadcast) set of valid
-zone ids, and the load summary is one rollup.
+membership is two lookups into the set of valid zone ids (broadcast by
+Spark while it is small), and the load summary is one rollup.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, functions as F
 from tripcast.config import DEFAULT_RULES, Rules
 from tripcast.functions.numeric import truncate_int
 from tripcast.functions.timefn import coerce_timestamp
-from tripcast.sources.zones import broadcast_if_small, valid_zone_ids
+from tripcast.sources.zones import valid_zone_ids
 
 # Fixed rule names, in the order they are checked.
 CLEANING_REASONS = ("missing_values", "time_order", "distance", "price", "passengers", "invalid_zones")
@@ -26,7 +26,7 @@ def _missing(name: str, dtype: str):
 
 def clean_trips(raw: DataFrame, zones: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
     """raw rows + pickup_ts, dropoff_ts (coerced, V2) + reason (NULL = accepted) (V1)."""
-    ids = broadcast_if_small(valid_zone_ids(zones), rules.broadcast_max_rows)
+    ids = valid_zone_ids(zones)
     pick_ids = ids.select(F.col("location_id").alias("_pz_id"), F.lit(True).alias("_pz_ok"))
     drop_ids = ids.select(F.col("location_id").alias("_dz_id"), F.lit(True).alias("_dz_ok"))
     base = raw.select(
@@ -66,8 +66,8 @@ def accepted_trips(cleaned: DataFrame) -> DataFrame:
         truncate_int(F.col("pickup_location_id")).alias("pickup_zone"),
         truncate_int(F.col("dropoff_location_id")).alias("dropoff_zone"),
         truncate_int(F.col("passenger_count")).alias("passenger_count"),
-        F.col("total_amount").cast("decimal(12,2)").alias("total_amount"),
-        F.col("trip_distance").cast("decimal(12,2)").alias("trip_distance"),
+        F.col("total_amount").cast("double").alias("total_amount"),
+        F.col("trip_distance").cast("double").alias("trip_distance"),
     )
 
 
@@ -92,7 +92,7 @@ def load_summary(cleaned: DataFrame) -> DataFrame:
 
 def zone_semi(raw: DataFrame, zones: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
     """Rows whose pickup and dropoff zone ids are both valid zones (J5, semi join)."""
-    ids = broadcast_if_small(valid_zone_ids(zones), rules.broadcast_max_rows)
+    ids = valid_zone_ids(zones)
     pz = truncate_int(F.col("pickup_location_id"))
     dz = truncate_int(F.col("dropoff_location_id"))
     base = raw.withColumn("_pz", pz).withColumn("_dz", dz)
@@ -103,7 +103,7 @@ def zone_semi(raw: DataFrame, zones: DataFrame, rules: Rules = DEFAULT_RULES) ->
 
 def zone_anti(raw: DataFrame, zones: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
     """Rows with at least one unknown (or missing) zone id (J5, anti join)."""
-    ids = broadcast_if_small(valid_zone_ids(zones), rules.broadcast_max_rows)
+    ids = valid_zone_ids(zones)
     base = (raw.withColumn("_pz", truncate_int(F.col("pickup_location_id")))
             .withColumn("_dz", truncate_int(F.col("dropoff_location_id"))))
     p_ok = ids.select(F.col("location_id").alias("_p_id"), F.lit(True).alias("_p_ok"))

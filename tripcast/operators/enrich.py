@@ -6,19 +6,18 @@ from pyspark.sql import DataFrame, functions as F
 
 from tripcast.config import DEFAULT_RULES, Rules
 from tripcast.functions.timefn import time_of_day
-from tripcast.sources.zones import broadcast_if_small, zone_lookup
+from tripcast.sources.zones import zone_lookup
 
 
 def enrich_trips(trips: DataFrame, zones: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
     """trips + dropoff_borough (default "Unknown") + time_of_day of the dropoff.
 
-    The zone dimension is a lookup table keyed by location_id; it is
-    broadcast only after its row count is checked against
-    ``rules.broadcast_max_rows``, otherwise Spark plans a shuffle join.
+    The zone dimension is a lookup table keyed by location_id; Spark
+    broadcasts it while its size is under the threshold and shuffles
+    both sides beyond.
     """
     lookup = zone_lookup(zones).select(
         F.col("location_id").alias("_zone_id"), F.col("borough").alias("_borough"))
-    lookup = broadcast_if_small(lookup, rules.broadcast_max_rows)
     joined = trips.join(lookup, trips["dropoff_zone"] == lookup["_zone_id"], "left")
     return joined.select(
         *[F.col(c) for c in trips.columns],

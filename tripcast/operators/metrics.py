@@ -4,8 +4,8 @@ Each grain is (window, dimension, metric dictionary). Statistics per window
 and dimension are one ``groupBy(window, key).agg(count, sum x3)``: Spark's
 partial/final hash aggregation is the incremental accumulator of the
 reference, so a hot dimension value (the constant 'all', a busy borough)
-is reduced before the shuffle. Sums run over fixed decimals so results do
-not depend on row order (K13).
+is reduced before the shuffle. Sums are exact and independent of row
+order for all decimals of usual size, and sums of doubles beyond (K13).
 
 Metric dictionaries map a metric name to a column expression over the
 statistics columns ``trips, passengers, distance, revenue``; add a metric
@@ -16,11 +16,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tripcast.config import DEFAULT_RULES, Rules
-from tripcast.functions.numeric import ratio, ratio_or_zero
+from tripcast.functions.numeric import part_names, ratio, ratio_or_zero, resum_parts, sum_parts, summed
 from tripcast.functions.timefn import iso_week_label
 
 Stats = dict[str, Column]
@@ -80,17 +81,23 @@ def grain(name: str, rules: Rules = DEFAULT_RULES) -> Grain:
     return next(g for g in grains(rules) if g.name == name)
 
 
-def _sums(rules: Rules) -> list[Column]:
-    return [
-        F.count(F.lit(1)).alias("trips"),
-        F.sum(F.col("passenger_count").cast(rules.sum_type)).alias("passengers"),
-        F.sum(F.col("trip_distance").cast(rules.sum_type)).alias("distance"),
-        F.sum(F.col("total_amount").cast(rules.sum_type)).alias("revenue"),
-    ]
+# statistics per window and the trip column each one sums
+SUMMED = {"passengers": "passenger_count", "distance": "trip_distance", "revenue": "total_amount"}
+STATS = ("trips", *SUMMED)
+PARTS = ["trips", *(p for name in SUMMED for p in part_names(name))]
+
+
+def sum_columns() -> list[Column]:
+    return [F.count(F.lit(1)).alias("trips"), *(p for name, c in SUMMED.items() for p in sum_parts(name, F.col(c)))]
 
 
 def _resum() -> list[Column]:
-    return [F.sum(c).alias(c) for c in ("trips", "passengers", "distance", "revenue")]
+    return [F.sum("trips").alias("trips"), *(p for name in SUMMED for p in resum_parts(name))]
+
+
+def finished(stats: DataFrame) -> DataFrame:
+    """Statistics with the parts of each sum made into one double."""
+    return stats.select("window_start", "window_end", "dimension", "trips", *[summed(name) for name in SUMMED])
 
 
 def _dim(g: Grain) -> Column:
@@ -108,37 +115,37 @@ def window_stats(trips: DataFrame, g: Grain, rules: Rules = DEFAULT_RULES,
     if g.slide_seconds is None or g.slide_seconds == g.size_seconds:
         w = F.window(ts, f"{g.size_seconds} seconds", f"{g.size_seconds} seconds",
                      f"{g.offset_seconds} seconds")
-        stats = trips.groupBy(w.alias("w"), _dim(g).alias("dimension")).agg(*_sums(rules)).select(
+        stats = trips.groupBy(w.alias("w"), _dim(g).alias("dimension")).agg(*sum_columns()).select(
             F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
-            "dimension", "trips", "passengers", "distance", "revenue")
+            "dimension", *PARTS)
     elif g.size_seconds % g.slide_seconds == 0 and g.offset_seconds == 0:
         # sliding: aggregate per slide bucket first, then fan each bucket out to the
         # size/slide windows that contain it, and add up again (expansion after reduction)
         n = g.size_seconds // g.slide_seconds
         bucket = F.window(ts, f"{g.slide_seconds} seconds").start
-        pre = trips.groupBy(bucket.alias("bucket"), _dim(g).alias("dimension")).agg(*_sums(rules))
+        pre = trips.groupBy(bucket.alias("bucket"), _dim(g).alias("dimension")).agg(*sum_columns())
         fanned = pre.select(
-            "bucket", "dimension", "trips", "passengers", "distance", "revenue",
+            "bucket", "dimension", *PARTS,
             F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("k"),
         ).select(
             F.timestamp_micros(F.unix_micros("bucket") - F.col("k").cast("bigint") * F.lit(g.slide_seconds * 1_000_000))
             .alias("window_start"),
-            "dimension", "trips", "passengers", "distance", "revenue")
+            "dimension", *PARTS)
         stats = fanned.groupBy("window_start", "dimension").agg(*_resum()).select(
             "window_start",
             F.timestamp_micros(F.unix_micros("window_start") + F.lit(g.size_seconds * 1_000_000)).alias("window_end"),
-            "dimension", "trips", "passengers", "distance", "revenue")
+            "dimension", *PARTS)
     else:
         w = F.window(ts, f"{g.size_seconds} seconds", f"{g.slide_seconds} seconds",
                      f"{g.offset_seconds} seconds")
-        stats = trips.groupBy(w.alias("w"), _dim(g).alias("dimension")).agg(*_sums(rules)).select(
+        stats = trips.groupBy(w.alias("w"), _dim(g).alias("dimension")).agg(*sum_columns()).select(
             F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
-            "dimension", "trips", "passengers", "distance", "revenue")
+            "dimension", *PARTS)
     if g.label_from_window is not None:
         stats = stats.withColumn("dimension", g.label_from_window(F.col("window_start")))
     if bound is not None:
         stats = stats.where(F.col("window_end") <= bound)
-    return stats
+    return finished(stats)
 
 
 def to_metric_rows(stats: DataFrame, metrics: dict[str, MetricFn]) -> DataFrame:
@@ -162,65 +169,12 @@ def grain_metrics(trips: DataFrame, g: Grain, rules: Rules = DEFAULT_RULES,
 
 
 def all_metrics(trips: DataFrame, rules: Rules = DEFAULT_RULES, bound: Column | None = None) -> DataFrame:
-    """Every windowed metric (U3 without the gauge) from one scan and one shuffle.
+    """Every windowed metric (U3 without the gauge): one partial and final aggregation per grain.
 
-    The four grains are grouping sets of one aggregation: (day, borough),
-    (day, time of day), (week) and (5-minute bucket); Spark expands each trip
-    once per set before the partial aggregation, so the trips are read and
-    shuffled once. Bucket rows are then fanned out to their sliding windows.
+    Each grain reads its own columns of the trips; give it a written table
+    where making the trips is dear.
     """
-    gs = {g.name: g for g in grains(rules)}
-    day, tod, week, hour = gs["borough"], gs["time_of_day"], gs["week"], gs["last_hour"]
-    us = F.unix_micros(F.col("event_time"))
-
-    def start(size_s: int, offset_s: int = 0) -> Column:
-        # tumbling window start, aligned to the epoch plus offset (as window() aligns)
-        return F.timestamp_micros(us - F.pmod(us - F.lit(offset_s * 1_000_000), F.lit(size_s * 1_000_000)))
-
-    base = trips.select(
-        start(day.size_seconds).alias("_day"),
-        start(week.size_seconds, week.offset_seconds).alias("_week"),
-        start(hour.slide_seconds).alias("_bucket"),
-        F.col(day.dimension).alias("_borough"), F.col(tod.dimension).alias("_tod"),
-        "passenger_count", "trip_distance", "total_amount",
-    )
-    stats = base.groupingSets(
-        [["_day", "_borough"], ["_day", "_tod"], ["_week"], ["_bucket"]],
-        "_day", "_week", "_bucket", "_borough", "_tod",
-    ).agg(*_sums(rules), F.grouping_id().alias("_gid"))
-    # grouping_id bits follow the column order _day _week _bucket _borough _tod (1 = not grouped)
-    gid = {"borough": 0b01101, "time_of_day": 0b01110, "week": 0b10111, "last_hour": 0b11011}
-    cols = ["trips", "passengers", "distance", "revenue"]
-
-    def tumbling(g, start, dim):
-        return stats.where(F.col("_gid") == gid[g.name]).select(
-            F.col(start).alias("window_start"),
-            F.timestamp_micros(F.unix_micros(start) + F.lit(g.size_seconds * 1_000_000)).alias("window_end"),
-            dim.alias("dimension"), *cols)
-
-    n = hour.size_seconds // hour.slide_seconds
-    fanned = stats.where(F.col("_gid") == gid["last_hour"]).select(
-        "_bucket", *cols, F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("k")
-    ).select(
-        F.timestamp_micros(F.unix_micros("_bucket") - F.col("k").cast("bigint") * F.lit(hour.slide_seconds * 1_000_000))
-        .alias("window_start"), *cols)
-    hourly = fanned.groupBy("window_start").agg(*_resum()).select(
-        "window_start",
-        F.timestamp_micros(F.unix_micros("window_start") + F.lit(hour.size_seconds * 1_000_000)).alias("window_end"),
-        F.lit(hour.constant).alias("dimension"), *cols)
-    parts = [
-        (day, tumbling(day, "_day", F.col("_borough"))),
-        (tod, tumbling(tod, "_day", F.col("_tod"))),
-        (week, tumbling(week, "_week", iso_week_label(F.col("_week")))),
-        (hour, hourly),
-    ]
-    out = None
-    for g, st in parts:
-        if bound is not None:
-            st = st.where(F.col("window_end") <= bound)
-        m = to_metric_rows(st, g.metrics)
-        out = m if out is None else out.unionByName(m)
-    return out
+    return reduce(DataFrame.unionByName, (grain_metrics(trips, g, rules, bound) for g in grains(rules)))
 
 
 def metric(trips: DataFrame, name: str, rules: Rules = DEFAULT_RULES, bound: Column | None = None) -> DataFrame:

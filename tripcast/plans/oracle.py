@@ -128,7 +128,7 @@ enriched{s} AS (
 
 
 def _stats(src: str, ws: str, we: str, dim: str, extra_from: str = "") -> str:
-    dec = R.sum_type.upper()
+    dec = "DECIMAL(38,10)"
     return f"""SELECT {ws} AS window_start, {we} AS window_end, {dim} AS dimension, count(*) AS trips,
   sum(CAST(passenger_count AS {dec})) AS passengers, sum(CAST(trip_distance AS {dec})) AS distance,
   sum(CAST(total_amount AS {dec})) AS revenue FROM {src} {extra_from} GROUP BY 1, 2, 3"""
@@ -247,14 +247,14 @@ def oracle_sql() -> dict[str, str]:
   WHERE TRY_CAST(pickup_datetime AS TIMESTAMP) >= TIMESTAMP '1995-01-01' AND TRY_CAST(pickup_datetime AS TIMESTAMP) < TIMESTAMP '2002-01-01'""",
         "s4_ordered_trips": f"""WITH {RAW_B} SELECT pickup_ts AS pickup_datetime, dropoff_ts AS dropoff_datetime,
   pz AS pickup_zone, dz AS dropoff_zone, CAST(trunc(passenger_count) AS INTEGER) AS passenger_count,
-  CAST(CAST(trip_distance AS DECIMAL(12,2)) AS DOUBLE) AS trip_distance, CAST(CAST(total_amount AS DECIMAL(12,2)) AS DOUBLE) AS total_amount
+  CAST(trip_distance AS DOUBLE) AS trip_distance, CAST(total_amount AS DOUBLE) AS total_amount
   FROM cr WHERE reason IS NULL ORDER BY pickup_ts""",
         "s7_valid_zone_ids": "SELECT DISTINCT CAST(n_nationkey AS INTEGER) AS location_id FROM nation",
         "v1_clean_reasons": f"WITH {RAW_B} SELECT {RAW_COLS}, reason FROM cr",
         "v2_coerced_times": f"WITH {RAW_B} SELECT pickup_datetime, dropoff_datetime, pickup_ts, dropoff_ts FROM cr",
         "v3_raw_trips": f"""WITH {RAW_B} SELECT pickup_ts AS pickup_datetime, dropoff_ts AS dropoff_datetime,
   pz AS pickup_zone, dz AS dropoff_zone, CAST(trunc(passenger_count) AS INTEGER) AS passenger_count,
-  CAST(CAST(total_amount AS DECIMAL(12,2)) AS DOUBLE) AS total_amount, CAST(CAST(trip_distance AS DECIMAL(12,2)) AS DOUBLE) AS trip_distance
+  CAST(total_amount AS DOUBLE) AS total_amount, CAST(trip_distance AS DOUBLE) AS trip_distance
   FROM cr WHERE reason IS NULL""",
         "v4_load_summary": f"""WITH {RAW_B}
   SELECT 'processed' AS status, CAST(NULL AS VARCHAR) AS reason, count(*) AS rows FROM cr
@@ -309,9 +309,11 @@ def oracle_sql() -> dict[str, str]:
   SELECT trip_id, pickup_zone, dropoff_zone, pickup_datetime, dropoff_datetime, duration_seconds, trip_distance,
          passenger_count, total_amount, invalid_reason FROM inv_first""",
         "ks3_metrics_upsert": "WITH " + all_ctes() + "," + all_ctes("all", "_all") + """
-  SELECT * FROM aggregates_all
+  SELECT metric_name, window_start, window_end, dimension, value + 1 AS value FROM metrics_all
+  WHERE ends_with(metric_name, '_by_borough') OR ends_with(metric_name, '_last_h')
   UNION ALL
-  SELECT w.* FROM aggregates w ANTI JOIN aggregates_all x
+  SELECT w.metric_name, w.window_start, w.window_end, w.dimension, w.value FROM metrics w ANTI JOIN (
+    SELECT * FROM metrics_all WHERE ends_with(metric_name, '_by_borough') OR ends_with(metric_name, '_last_h')) x
     ON w.metric_name = x.metric_name AND w.window_start = x.window_start AND w.window_end = x.window_end
    AND w.dimension = x.dimension""",
         "r1_trips_per_borough": with_trips("""SELECT window_start, dimension, value FROM metrics

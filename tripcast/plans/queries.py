@@ -8,11 +8,12 @@ measures as DOUBLE.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tripcast.config import DEFAULT_RULES, apply_session_settings
+from tripcast.config import DEFAULT_RULES, apply_session_settings, scratch_path
 from tripcast.functions.timefn import iso_week_label, time_of_day, to_ntz
 from tripcast.operators import cleaning, eventlog, metrics as M, trips as T_, validation as V
 from tripcast.plans import batch, reports
@@ -265,16 +266,26 @@ def ks2_invalid_first(spark, sf):
 
 
 def ks3_metrics_upsert(spark, sf):
-    """Metrics of the finite run, then the same job with every window closed upserted over them."""
-    first = _tables(spark, sf).aggregates()
-    again = _tables(spark, sf, close="all").aggregates()
-    return writers.upsert_rows(first, again)
+    """The finite run's metrics in a table, then half of the boroughs' and all last windows upserted with changed values.
+
+    Of the second run (every window closed) only metrics by borough and of the
+    last hour come again, each value one larger: other rows stay, some change,
+    and windows that the first run left open are new.
+    """
+    first = _tables(spark, sf).metrics()
+    again = _tables(spark, sf, close="all").metrics().where(
+        F.col("metric_name").endswith("_by_borough") | F.col("metric_name").endswith("_last_h")
+    ).withColumn("value", F.col("value") + F.lit(1.0))
+    path = scratch_path(spark, f"ks3/{uuid.uuid4().hex}")
+    writers.upsert_partitions(first, path, partition_by=("metric_name",))
+    writers.upsert_partitions(again, path, partition_by=("metric_name",))
+    return spark.read.parquet(path).select(*first.columns)
 
 
 # ------------------------------------------------------------------ reports
 
 def r1_trips_per_borough(spark, sf):
-    return reports.trips_per_borough(_tables(spark, sf).metrics())
+    return reports.trips_per_borough(_tables(spark, sf).metric("trip_count_by_borough"))
 
 
 def r2_invalid_by_reason(spark, sf):
@@ -286,12 +297,12 @@ def r3_rejected_listing(spark, sf):
 
 
 def r4_progress(spark, sf):
-    return reports.progress(_tables(spark, sf).metrics())
+    return reports.progress(_tables(spark, sf).metric("trips_last_h"))
 
 
 def r5_reconciliation(spark, sf):
     t = _tables(spark, sf)
-    return reports.reconciliation(t.metrics(), t.valid, writers.first_invalid(t.trips), t.bound)
+    return reports.reconciliation(t.metric("trip_count_by_borough"), t.valid, writers.first_invalid(t.trips), t.bound)
 
 
 def queries() -> dict[str, Query]:

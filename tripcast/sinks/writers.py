@@ -81,28 +81,25 @@ def upsert_rows(existing: DataFrame, incoming: DataFrame, keys: Sequence[str] =
 # ---------------------------------------------------------------- file tables
 
 def _has_rows(spark: SparkSession, path: str, fmt: str = "parquet") -> bool:
-    try:
-        return not spark.read.format(fmt).load(path).isEmpty()
-    except Exception:  # missing folder
+    """Whether a table has rows; a missing folder or one without bytes has none, and an unreadable table raises."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(folder) or fs.getContentSummary(folder).getLength() == 0:
         return False
+    return not spark.read.format(fmt).load(path).isEmpty()
 
 
 def append_if_empty(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = ()) -> bool:
     """Write ``df`` only when the target is empty; False when refused (K-S5, K-S9, A14)."""
     if _has_rows(df.sparkSession, path, fmt):
         return False
-    w = df.write.mode("overwrite").format(fmt)
+    w = df.write.mode("append").format(fmt)  # never overwrites: rows that came in meanwhile stay
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.save(path)
     return True
 
 
-def replace_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Full refresh (K-S6): the new content replaces the table in one write job."""
-    df.write.mode("overwrite").format(fmt).save(path)
-
-
 def export_csv(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """CSV export with header (K-S7), one folder per slice when partitioned."""
     w = df.write.mode("overwrite").option("header", True)
@@ -148,7 +145,9 @@ def upsert_partitions(df: DataFrame, path: str, keys: Sequence[str] = AGGREGATE_
     spark = df.sparkSession
     if "window_date" in partition_by and "window_date" not in df.columns:
         df = df.withColumn("window_date", F.to_date("window_start"))
-    batch = last_per_key(df, keys, order) if order else df.dropDuplicates(list(keys))
+    if order is None:  # the batch's own order: the last row of a key wins
+        df, order = df.withColumn("_arrival", F.monotonically_increasing_id()), ["_arrival"]
+    batch = last_per_key(df, keys, order).drop("_arrival")
     if _has_rows(spark, path):
         existing = spark.read.parquet(path)
         touched = batch.select(*partition_by).distinct()
@@ -160,7 +159,7 @@ def upsert_partitions(df: DataFrame, path: str, keys: Sequence[str] = AGGREGATE_
     stage = os.path.join(checkpoint_dir(spark), f"upsert-{uuid.uuid4().hex}")
     merged.write.mode("overwrite").parquet(stage)
     staged = spark.read.parquet(stage)
-    (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (staged.repartition(*partition_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*partition_by).parquet(path))
     _delete(spark, stage)
 

@@ -31,7 +31,7 @@ def _kafka_options(src: TopicSource) -> dict[str, str]:
     if src.bootstrap_servers:
         opts["kafka.bootstrap.servers"] = src.bootstrap_servers
     if src.group_id:
-        opts["kafka.group.id"] = src.group_id
+        opts["groupIdPrefix"] = src.group_id  # a fixed group would split the topic between queries
     return opts
 
 

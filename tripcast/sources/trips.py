@@ -4,22 +4,25 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tripcast.schemas import RAW_TRIPS_CSV
+from tripcast.sources.csv import by_header
 
 RAW_TRIP_COLUMNS = [f.name for f in RAW_TRIPS_CSV.fields]
 
 
 def read_trips_csv(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """All trip CSV files in one scan with the declared schema.
+    """All trip CSV files, columns found by each path's header, with the declared types.
 
     File splits replace the reference's 50,000-row chunks.
     """
     if isinstance(paths, str):
         paths = [paths]
-    return spark.read.schema(RAW_TRIPS_CSV).option("header", True).csv(list(paths))
+    files = [by_header(spark, p, RAW_TRIPS_CSV).csv(p).select(*RAW_TRIP_COLUMNS) for p in paths]
+    return reduce(DataFrame.unionByName, files)
 
 
 def _day(value: str | dt.date) -> dt.date:

@@ -1,11 +1,11 @@
-"""Zone dimension sources (S1, S6, S7) and the size-checked broadcast."""
+"""Zone dimension sources."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tripcast.config import DEFAULT_RULES
 from tripcast.schemas import ZONES_CSV
+from tripcast.sources.csv import by_header
 
 # a null marker that never occurs in the file, so "N/A" and "" stay text
 _NO_NULL_MARKER = "\u0000"
@@ -14,12 +14,11 @@ _NO_NULL_MARKER = "\u0000"
 def read_zones_csv(spark: SparkSession, path: str) -> DataFrame:
     """Zone lookup CSV with header LocationID,Borough,Zone,service_zone."""
     raw = (
-        spark.read.schema(ZONES_CSV)
-        .option("header", True)
+        by_header(spark, path, ZONES_CSV)
         .option("nullValue", _NO_NULL_MARKER)
         .option("emptyValue", "")
         .csv(path)
-    )
+    ).select(*ZONES_CSV.fieldNames())
     return raw.withColumnsRenamed(
         {"LocationID": "location_id", "Borough": "borough", "Zone": "zone"}
     )
@@ -43,13 +42,3 @@ def zone_lookup(zones: DataFrame) -> DataFrame:
 def valid_zone_ids(zones: DataFrame) -> DataFrame:
     """Set of valid zone ids."""
     return zones.select("location_id").where(F.col("location_id").isNotNull()).distinct()
-
-
-def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_RULES.broadcast_max_rows) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows; reads at most max_rows + 1 rows."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_RULES.broadcast_max_rows) -> DataFrame:
-    """Broadcast hint only behind a proven row bound; otherwise a shuffle join is planned."""
-    return F.broadcast(df) if fits_broadcast(df, max_rows) else df

@@ -69,13 +69,10 @@ def stream_metric_rows(trips: DataFrame, grain: M.Grain, zones: DataFrame,
 def _sliding_stats(trips: DataFrame, grain: M.Grain, rules: Rules) -> DataFrame:
     # streaming aggregation allows one aggregation per query: use Spark's sliding window
     w = F.window("event_time", f"{grain.size_seconds} seconds", f"{grain.slide_seconds} seconds")
-    return trips.groupBy(w.alias("w"), F.lit(grain.constant).alias("dimension")).agg(
-        F.count(F.lit(1)).alias("trips"),
-        F.sum(F.col("passenger_count").cast(rules.sum_type)).alias("passengers"),
-        F.sum(F.col("trip_distance").cast(rules.sum_type)).alias("distance"),
-        F.sum(F.col("total_amount").cast(rules.sum_type)).alias("revenue"),
-    ).select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
-             "dimension", "trips", "passengers", "distance", "revenue")
+    sums = trips.groupBy(w.alias("w"), F.lit(grain.constant).alias("dimension")).agg(
+        *M.sum_columns()
+    ).select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "dimension", *M.PARTS)
+    return M.finished(sums)
 
 
 def _trip_sinks(out_dir: str):
