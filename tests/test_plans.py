@@ -6,7 +6,7 @@ import os
 import tempfile
 from datetime import datetime
 
-from conftest import make_dropoff, make_pickup, records
+from conftest import event, records
 from tripcast.operators import trips as T, validation as V
 from tripcast.sources.trips import date_slices
 
@@ -30,8 +30,8 @@ def test_date_slices_reach_the_scan(spark):
 
 
 def test_trip_join_is_one_aggregation_no_join(spark):
-    p = V.pickups(V.parse_events(records(spark, [make_pickup()]), "pickup"))
-    d = V.dropoffs(V.parse_events(records(spark, [make_dropoff()]), "dropoff"))
+    p = V.pickups(V.parse_events(records(spark, [event("pickup")]), "pickup"))
+    d = V.dropoffs(V.parse_events(records(spark, [event("dropoff")]), "dropoff"))
     plan = plan_of(T.join_trips(p, d, close="all"))
     for bad in ("SortMergeJoin", "BroadcastNestedLoopJoin", "CartesianProduct", "ShuffledHashJoin"):
         assert bad not in plan

@@ -5,7 +5,7 @@ import os
 import tempfile
 from datetime import datetime
 
-from conftest import make_pickup
+from conftest import event
 from tripcast.operators import validation as V
 from tripcast.plans import reports
 from tripcast.sinks import writers
@@ -45,7 +45,7 @@ def test_reconciliation_flags_consistency(spark):
 
 def test_publish_then_read_topic(spark):
     base = tempfile.mkdtemp(prefix="tripcast-topic-")
-    recs = spark.createDataFrame([("t1", json.dumps(make_pickup())), ("t2", json.dumps(make_pickup(trip_id="t2")))],
+    recs = spark.createDataFrame([("t1", json.dumps(event("pickup"))), ("t2", json.dumps(event("pickup", trip_id="t2")))],
                                  "key string, value string")
     writers.publish_topic(recs, "pickup_events", fallback_path=os.path.join(base, "log"))
     log = spark.read.parquet(os.path.join(base, "log"))

@@ -5,7 +5,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import make_dropoff, make_pickup, records
+from conftest import event, records
 from tripcast.operators import enrich, trips as T, validation as V
 from tripcast.sinks import writers
 
@@ -22,61 +22,61 @@ def run(spark, pickups, dropoffs, close="all"):
 
 
 def test_three_hours_exactly_is_valid(spark):
-    out = run(spark, [make_pickup(pickup_datetime="2022-01-01T09:00:00")],
-              [make_dropoff(dropoff_datetime="2022-01-01T12:00:00")])
+    out = run(spark, [event("pickup", pickup_datetime="2022-01-01T09:00:00")],
+              [event("dropoff", dropoff_datetime="2022-01-01T12:00:00")])
     trip = out[("t1", None)]
     assert trip.is_valid and trip.duration_seconds == 10800.0
 
 
 def test_one_second_over_three_hours(spark):
-    out = run(spark, [make_pickup(pickup_datetime="2022-01-01T09:00:00")],
-              [make_dropoff(dropoff_datetime="2022-01-01T12:00:01")])
+    out = run(spark, [event("pickup", pickup_datetime="2022-01-01T09:00:00")],
+              [event("dropoff", dropoff_datetime="2022-01-01T12:00:01")])
     assert list(out) == [("t1", "duration_over_3h")]
 
 
 def test_zero_duration(spark):
-    out = run(spark, [make_pickup(pickup_datetime="2022-01-01T09:00:00")],
-              [make_dropoff(dropoff_datetime="2022-01-01T09:00:00")])
+    out = run(spark, [event("pickup", pickup_datetime="2022-01-01T09:00:00")],
+              [event("dropoff", dropoff_datetime="2022-01-01T09:00:00")])
     assert list(out) == [("t1", "non_positive_duration")]
 
 
 def test_dropoff_before_pickup_is_matched_and_non_positive(spark):
-    out = run(spark, [make_pickup(pickup_datetime="2022-01-01T10:00:00")],
-              [make_dropoff(dropoff_datetime="2022-01-01T09:00:00")])
+    out = run(spark, [event("pickup", pickup_datetime="2022-01-01T10:00:00")],
+              [event("dropoff", dropoff_datetime="2022-01-01T09:00:00")])
     trip = out[("t1", "non_positive_duration")]
     assert trip.duration_seconds == -3600.0
     assert trip.event_time == datetime(2022, 1, 1, 9, 0)  # trips are windowed by dropoff time
 
 
 def test_orphans_both_sides(spark):
-    out = run(spark, [make_pickup(trip_id="p_only")], [make_dropoff(trip_id="d_only")])
+    out = run(spark, [event("pickup", trip_id="p_only")], [event("dropoff", trip_id="d_only")])
     assert set(out) == {("p_only", "missing_dropoff"), ("d_only", "missing_pickup")}
     assert out[("p_only", "missing_dropoff")].event_time == datetime(2022, 1, 3, 10, 0)
 
 
 def test_exactly_48h_matches_beyond_splits(spark):
-    out = run(spark, [make_pickup(trip_id="a", pickup_datetime="2022-01-01T10:00:00"),
-                      make_pickup(trip_id="b", pickup_datetime="2022-01-01T10:00:00")],
-              [make_dropoff(trip_id="a", dropoff_datetime="2022-01-03T10:00:00"),
-               make_dropoff(trip_id="b", dropoff_datetime="2022-01-03T10:00:01")])
+    out = run(spark, [event("pickup", trip_id="a", pickup_datetime="2022-01-01T10:00:00"),
+                      event("pickup", trip_id="b", pickup_datetime="2022-01-01T10:00:00")],
+              [event("dropoff", trip_id="a", dropoff_datetime="2022-01-03T10:00:00"),
+               event("dropoff", trip_id="b", dropoff_datetime="2022-01-03T10:00:01")])
     assert ("a", "duration_over_3h") in out
     assert ("b", "missing_dropoff") in out and ("b", "missing_pickup") in out
 
 
 def test_duplicate_events_latest_wins(spark):
-    out = run(spark, [make_pickup(pickup_datetime="2022-01-01T10:00:00", passenger_count=1),
-                      make_pickup(pickup_datetime="2022-01-01T10:05:00", passenger_count=4)],
-              [make_dropoff(dropoff_datetime="2022-01-01T10:20:00")])
+    out = run(spark, [event("pickup", pickup_datetime="2022-01-01T10:00:00", passenger_count=1),
+                      event("pickup", pickup_datetime="2022-01-01T10:05:00", passenger_count=4)],
+              [event("dropoff", dropoff_datetime="2022-01-01T10:20:00")])
     trip = out[("t1", None)]
     assert trip.passenger_count == 4.0 and trip.duration_seconds == 900.0
 
 
 def test_watermark_release_of_orphans(spark):
     # bound = least(max pickup, max dropoff) - 30 s = 2022-01-05 10:00:00 - 30 s
-    pickups = [make_pickup(trip_id="old", pickup_datetime="2022-01-01T10:00:00"),
-               make_pickup(trip_id="late", pickup_datetime="2022-01-04T10:00:00"),
-               make_pickup(trip_id="last", pickup_datetime="2022-01-05T10:00:00")]
-    dropoffs = [make_dropoff(trip_id="last", dropoff_datetime="2022-01-05T10:10:00")]
+    pickups = [event("pickup", trip_id="old", pickup_datetime="2022-01-01T10:00:00"),
+               event("pickup", trip_id="late", pickup_datetime="2022-01-04T10:00:00"),
+               event("pickup", trip_id="last", pickup_datetime="2022-01-05T10:00:00")]
+    dropoffs = [event("dropoff", trip_id="last", dropoff_datetime="2022-01-05T10:10:00")]
     out = run(spark, pickups, dropoffs, close="watermark")
     assert ("old", "missing_dropoff") in out       # timer 01-03 10:00 < bound
     assert ("late", "missing_dropoff") not in out  # timer 01-06 10:00 not reached
@@ -84,8 +84,8 @@ def test_watermark_release_of_orphans(spark):
 
 
 def test_enrichment_unknown_zone_and_time_of_day(spark):
-    p, d = sides(spark, [make_pickup(), make_pickup(trip_id="t2")],
-                 [make_dropoff(), make_dropoff(trip_id="t2", dropoff_zone=99)])
+    p, d = sides(spark, [event("pickup"), event("pickup", trip_id="t2")],
+                 [event("dropoff"), event("dropoff", trip_id="t2", dropoff_zone=99)])
     zones = spark.createDataFrame([(1, "Queens", "A", "Boro"), (2, "Manhattan", "B", "Yellow")],
                                   "location_id int, borough string, zone string, service_zone string")
     e = {r.trip_id: r for r in enrich.enrich_trips(T.valid_trips(T.join_trips(p, d, close="all")), zones).collect()}
@@ -95,16 +95,16 @@ def test_enrichment_unknown_zone_and_time_of_day(spark):
 
 def test_invalid_trips_keep_first_emitted(spark):
     # dropoff 72 h after pickup: missing_dropoff (emitted at p+48h) precedes missing_pickup (d+48h)
-    p, d = sides(spark, [make_pickup(pickup_datetime="2022-01-01T10:00:00")],
-                 [make_dropoff(dropoff_datetime="2022-01-04T10:00:00")])
+    p, d = sides(spark, [event("pickup", pickup_datetime="2022-01-01T10:00:00")],
+                 [event("dropoff", dropoff_datetime="2022-01-04T10:00:00")])
     rows = writers.first_invalid(T.join_trips(p, d, close="all")).collect()
     assert [(r.trip_id, r.invalid_reason) for r in rows] == [("t1", "missing_dropoff")]
 
 
 @pytest.mark.parametrize("n_dupes", [1, 50])
 def test_hot_trip_id_is_one_trip(spark, n_dupes):
-    pickups = [make_pickup(trip_id="", pickup_datetime=f"2022-01-01T10:{i % 60:02d}:00") for i in range(n_dupes)]
-    out = run(spark, pickups, [make_dropoff(trip_id="", dropoff_datetime="2022-01-01T11:30:00")])
+    pickups = [event("pickup", trip_id="", pickup_datetime=f"2022-01-01T10:{i % 60:02d}:00") for i in range(n_dupes)]
+    out = run(spark, pickups, [event("dropoff", trip_id="", dropoff_datetime="2022-01-01T11:30:00")])
     assert len(out) == 1
 
 

@@ -4,7 +4,7 @@ import json
 
 import pytest
 
-from conftest import make_dropoff, make_pickup, records
+from conftest import event, records
 from tripcast.operators import validation as V
 
 
@@ -14,49 +14,49 @@ def reason_of(spark, payload, event_type):
 
 
 PICKUP_CASES = [
-    (make_pickup(), None),
-    (make_pickup(passenger_count=9), "invalid_passenger_count"),
-    (make_pickup(event_type="trip"), "unexpected_event_type"),
-    (make_dropoff(), "unexpected_event_type"),  # dropoff on the pickup topic
+    (event("pickup"), None),
+    (event("pickup", passenger_count=9), "invalid_passenger_count"),
+    (event("pickup", event_type="trip"), "unexpected_event_type"),
+    (event("dropoff"), "unexpected_event_type"),  # dropoff on the pickup topic
     ("{not json", "invalid_json"),
-    (json.dumps(make_pickup()) + " x", "invalid_json"),
+    (json.dumps(event("pickup")) + " x", "invalid_json"),
     ('{"trip_id": "t1", "passenger_count": NaN}', "invalid_json"),
     ("[1]", "not_a_json_object"),
     ("null", "not_a_json_object"),
     ("5", "not_a_json_object"),
-    (make_pickup(trip_id=None), "missing_trip_id"),
-    ({k: v for k, v in make_pickup().items() if k != "pickup_zone"}, "missing_pickup_zone"),
-    ({k: v for k, v in make_pickup().items() if k != "passenger_count"}, "missing_passenger_count"),
-    (make_pickup(pickup_datetime=None), "missing_pickup_datetime"),
-    (make_pickup(pickup_datetime="yesterday"), "invalid_timestamp"),
-    (make_pickup(pickup_datetime="2022-13-01T10:00:00"), "invalid_timestamp"),
-    (make_pickup(pickup_datetime=20220101), "invalid_timestamp"),
-    (make_pickup(pickup_datetime="2022-01-01T10:00:00+01:00"), None),
-    (make_pickup(pickup_datetime="2022-01-01 10:00:00.5"), None),
-    (make_pickup(pickup_zone="5"), "invalid_zone"),
-    (make_pickup(pickup_zone=5.0), "invalid_zone"),
-    (make_pickup(pickup_zone=True), None),  # K1: bool counts as int
-    (make_pickup(pickup_zone=2**40), "invalid_zone"),  # K8: beyond INT
-    (make_pickup(passenger_count="2"), "invalid_passenger_count"),
-    (make_pickup(passenger_count=True), "invalid_passenger_count"),
-    (make_pickup(passenger_count=0), "invalid_passenger_count"),
-    (make_pickup(passenger_count=1.5), None),
-    (make_pickup(passenger_count=8), None),
-    (make_pickup(trip_id=5), None),  # K7: any non-null id, kept as text
+    (event("pickup", trip_id=None), "missing_trip_id"),
+    ({k: v for k, v in event("pickup").items() if k != "pickup_zone"}, "missing_pickup_zone"),
+    ({k: v for k, v in event("pickup").items() if k != "passenger_count"}, "missing_passenger_count"),
+    (event("pickup", pickup_datetime=None), "missing_pickup_datetime"),
+    (event("pickup", pickup_datetime="yesterday"), "invalid_timestamp"),
+    (event("pickup", pickup_datetime="2022-13-01T10:00:00"), "invalid_timestamp"),
+    (event("pickup", pickup_datetime=20220101), "invalid_timestamp"),
+    (event("pickup", pickup_datetime="2022-01-01T10:00:00+01:00"), None),
+    (event("pickup", pickup_datetime="2022-01-01 10:00:00.5"), None),
+    (event("pickup", pickup_zone="5"), "invalid_zone"),
+    (event("pickup", pickup_zone=5.0), "invalid_zone"),
+    (event("pickup", pickup_zone=True), None),  # K1: bool counts as int
+    (event("pickup", pickup_zone=2**40), "invalid_zone"),  # K8: beyond INT
+    (event("pickup", passenger_count="2"), "invalid_passenger_count"),
+    (event("pickup", passenger_count=True), "invalid_passenger_count"),
+    (event("pickup", passenger_count=0), "invalid_passenger_count"),
+    (event("pickup", passenger_count=1.5), None),
+    (event("pickup", passenger_count=8), None),
+    (event("pickup", trip_id=5), None),  # K7: any non-null id, kept as text
 ]
 
 DROPOFF_CASES = [
-    (make_dropoff(), None),
-    (make_dropoff(trip_distance=-2.3), "invalid_trip_distance"),
-    (make_dropoff(trip_distance=True), "invalid_trip_distance"),
-    (make_dropoff(trip_distance=0), "invalid_trip_distance"),
-    (make_dropoff(total_amount=0), "invalid_total_amount"),
-    (make_dropoff(total_amount="12"), "invalid_total_amount"),
-    (make_dropoff(dropoff_zone=5.0), "invalid_zone"),
-    (make_dropoff(dropoff_zone=True), None),
-    (make_pickup(), "unexpected_event_type"),
-    ({k: v for k, v in make_dropoff().items() if k != "total_amount"}, "missing_total_amount"),
-    (make_dropoff(trip_distance=None), "missing_trip_distance"),
+    (event("dropoff"), None),
+    (event("dropoff", trip_distance=-2.3), "invalid_trip_distance"),
+    (event("dropoff", trip_distance=True), "invalid_trip_distance"),
+    (event("dropoff", trip_distance=0), "invalid_trip_distance"),
+    (event("dropoff", total_amount=0), "invalid_total_amount"),
+    (event("dropoff", total_amount="12"), "invalid_total_amount"),
+    (event("dropoff", dropoff_zone=5.0), "invalid_zone"),
+    (event("dropoff", dropoff_zone=True), None),
+    (event("pickup"), "unexpected_event_type"),
+    ({k: v for k, v in event("dropoff").items() if k != "total_amount"}, "missing_total_amount"),
+    (event("dropoff", trip_distance=None), "missing_trip_distance"),
 ]
 
 
@@ -86,7 +86,7 @@ def test_invalid_json_becomes_rejected_record(spark):
 
 
 def test_valid_event_is_typed(spark):
-    parsed = V.parse_events(records(spark, [make_pickup(pickup_datetime="2022-01-01T10:00:00Z")]), "pickup")
+    parsed = V.parse_events(records(spark, [event("pickup", pickup_datetime="2022-01-01T10:00:00Z")]), "pickup")
     row = V.pickups(parsed).first()
     assert row.trip_id == "t1" and row.pickup_zone == 1 and row.passenger_count == 2.0
     assert str(row.event_time) == "2022-01-01 10:00:00"
@@ -94,14 +94,14 @@ def test_valid_event_is_typed(spark):
 
 
 def test_lifecycle_one_signal_per_valid_event(spark):
-    p = V.pickups(V.parse_events(records(spark, [make_pickup(), make_pickup(trip_id="t2")]), "pickup"))
-    d = V.dropoffs(V.parse_events(records(spark, [make_dropoff(), "{bad"]), "dropoff"))
+    p = V.pickups(V.parse_events(records(spark, [event("pickup"), event("pickup", trip_id="t2")]), "pickup"))
+    d = V.dropoffs(V.parse_events(records(spark, [event("dropoff"), "{bad"]), "dropoff"))
     sig = sorted((r.signal, r.trip_id) for r in V.lifecycle(p, d).collect())
     assert sig == [("dropoff", "t1"), ("pickup", "t1"), ("pickup", "t2")]
 
 
 def test_parse_runs_once_per_payload(spark):
     """The valid split must not copy the JSON parse into a pushed-down filter."""
-    parsed = V.parse_events(records(spark, [make_pickup()]), "pickup")
+    parsed = V.parse_events(records(spark, [event("pickup")]), "pickup")
     plan = V.pickups(parsed)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("parseJson(concat([") <= 3  # one strict parse (its sub-expressions appear 3 times)
