@@ -1,5 +1,7 @@
 """Substring dedup, near-dedup, line dedup and quality rules against plain Python."""
 
+import random
+
 import pytest
 from plain import components, line_key, lines, near, quality_base, sha, substrings, words
 from shared import docs, rows  # noqa: F401
@@ -46,6 +48,24 @@ def test_near_duplicates_of_one_hot_group(spark):
     assert {r.doc_id: r.component_id for r in got} == group
 
 
+def test_near_duplicates_of_edited_copies(spark):
+    """Copies with a few words changed share keys, but many are like few others and unlike every centre."""
+    rng = random.Random(5)
+    base = [f"w{i}" for i in range(100)]
+    rows = []
+    for i in range(240):
+        text = list(base if i % 40 == 0 else rows[rng.randrange(len(rows))][1].split())
+        for _ in range(rng.randrange(3)):
+            text[rng.randrange(len(text))] = f"e{rng.randrange(10 ** 6)}"
+        rows.append((i, " ".join(text)))
+    ids = list(range(240))
+    rng.shuffle(ids)
+    rows = [(i, text) for i, (_, text) in zip(ids, rows, strict=True)]
+    sizes, group = near(rows, 85)
+    got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(6), percent=85).collect()
+    assert {r.doc_id: r.component_id for r in got} == group
+
+
 def test_near_duplicates_without_ids_or_rows(spark):
     rows = [(None, "a b c d e f"), (1, "a b c d e f"), (4, "a b c d e f"), (4, "q r s t u v"), (5, "q r s t u v")]
     got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()

@@ -12,6 +12,14 @@ differ), and in small groups also with their neighbours in order. Every task fir
 keeps one document per key and compares its others locally, so a key that a third
 of all documents hold costs a row per slice of text. Candidates are confirmed on
 full shingle sets; sets travel once per pair of document and group of documents.
+Equal sets share one more key, so that they always end in one component.
+
+The centres leave out pairs, and that matters only where documents under one key are
+still in different components. Then some candidate pair joins two components, since
+the candidates of a key connect all its documents. So the documents of those
+components meet once more by key, one per set and component, in blocks, and each pair
+from different components whose sizes allow a link is confirmed as well: every pair
+that a table puts together is linked, or in one component, or known to be unlike.
 """
 
 from __future__ import annotations
@@ -30,7 +38,8 @@ from tripcast.llm.text import U, Words, mix, ngrams, slices, split
 SHINGLE = 5
 PERCENT = 80
 SMALL = 8  # members of a key's group that are also compared with their neighbours
-PACKED = R.NAMES + ", ids binary, sizes binary, lefts binary, rights binary"
+BLOCK = 2048  # documents of a key that meet those of another block in one place
+PACKED = R.NAMES + ", ids binary, sizes binary, lefts binary, rights binary, owners binary, keys binary"
 
 
 def table_sides(percent: int, k: int, miss: float) -> int:
@@ -58,7 +67,7 @@ def shingle_sets(words: Words, n: int) -> list[np.ndarray]:
 
 
 def tensor_keys(sets: list[np.ndarray], m: int, k: int) -> np.ndarray:
-    """Key of each table for each (not empty) set, sets x m*m."""
+    """Key of each table for each (not empty) set, and last the name of the whole set: sets x (m*m + 1)."""
     flat = np.concatenate(sets)
     at = np.concatenate(([0], np.cumsum([len(s) for s in sets])[:-1]))
     seeds = mix(np.arange(1, 4 * m * k + 1, dtype=U), U(0x2545F4914F6CDD1D))
@@ -67,7 +76,8 @@ def tensor_keys(sets: list[np.ndarray], m: int, k: int) -> np.ndarray:
         for f in range(2 * m * k):
             low = np.minimum.reduceat((flat ^ seeds[2 * f]) * (seeds[2 * f + 1] | U(1)), at)
             half[f // k] = mix(half[f // k] + U(f), low)
-    return np.stack([mix(half[i], half[m + j] ^ U(i * m + j)) for i in range(m) for j in range(m)], axis=1)
+    same = mix(np.add.reduceat(mix(flat, flat), at), np.array([len(s) for s in sets], U))
+    return np.stack([*(mix(half[i], half[m + j] ^ U(i * m + j)) for i in range(m) for j in range(m)), same], axis=1)
 
 
 _SCRAMBLE = 0x9E3779B97F4A7C15
@@ -131,16 +141,17 @@ def signatures(df: DataFrame, key: str, text: str, n: int, shingle: int, m: int,
                 sets = shingle_sets(split(texts, lower=True), shingle)
                 sizes = np.array([len(s) for s in sets], np.int64)
                 use = np.flatnonzero(valid & (sizes > 0))
-                rows, left, right = None, np.zeros(0, np.int64), np.zeros(0, np.int64)
+                rows, left, right, keys = None, np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, U)
                 if len(use):
                     names = tensor_keys([sets[i] for i in use], m, k)
-                    odd = np.arange(m * m, dtype=U) & U(1)
+                    keys = np.concatenate((names, sizes[use, None].astype(U)), axis=1)
+                    odd = np.arange(m * m + 1, dtype=U) & U(1)
                     names = ((names & ~U(1)) | odd).ravel()
                     docs = np.stack([_scrambled(own[use]) if o else own[use] for o in odd], axis=1).ravel()
                     left, right = _star_pairs(names, docs)
                     rows = R.name_rows(0, n, names, None, docs)
                 about = {"ids": [own.tobytes()], "sizes": [np.where(valid, sizes, -1 - sizes).tobytes()],
-                         "lefts": [left.tobytes()], "rights": [right.tobytes()]}
+                         "lefts": [left.tobytes()], "rights": [right.tobytes()], "owners": [own[use].tobytes()], "keys": [keys.tobytes()]}
                 for columns in ({c: rows[c] for c in rows.column_names} if rows is not None else {}, about):
                     if columns:
                         many = len(next(iter(columns.values())))
@@ -209,6 +220,55 @@ def confirmed(df: DataFrame, key: str, text: str, pairs: DataFrame, n: int, shin
     return mine.groupBy("grp").cogroup(told.groupBy("to")).applyInArrow(confirm, "a long, b long")
 
 
+def _keys_of(packed: DataFrame, tables: int) -> DataFrame:
+    """node, size, same (name of its set) and keys of each document with a set."""
+    schema = "node long, size long, same long, keys binary"
+
+    def flat(batches):
+        for batch in batches:
+            for x, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                keys = np.frombuffer(y, np.int64).reshape(-1, tables + 2)
+                yield pa.record_batch({"node": np.frombuffer(x, np.int64), "size": keys[:, -1], "same": keys[:, -2],
+                                       "keys": pa.array([k.tobytes() for k in np.ascontiguousarray(keys[:, :tables])], pa.binary())})
+
+    return packed.where("owners is not null").select("owners", "keys").mapInArrow(flat, schema)
+
+
+def unsettled(packed: DataFrame, pairs: DataFrame, members: DataFrame, tables: int, percent: int) -> DataFrame:
+    """Pairs (a, b) of documents under one key, from different components, that are not among the pairs yet."""
+    comp = members.select("node", F.col("component_id").alias("comp"))
+    sides = [comp.select(F.col("node").alias(x), F.col("comp").alias(f"c{x}")) for x in "ab"]
+    met = pairs.join(sides[0], "a", "left").join(sides[1], "b", "left").select(
+        F.coalesce("ca", "a").alias("ca"), F.coalesce("cb", "b").alias("cb")).where("ca <> cb")
+    open_ = R.written(met.select(F.explode(F.array("ca", "cb")).alias("comp")).distinct(), "open")
+    keyed = _keys_of(packed, tables).join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    classes = keyed.join(open_, "comp", "left_semi").groupBy("same", "comp").agg(
+        F.min("node").alias("node"), F.any_value("size").alias("size"), F.any_value("keys").alias("keys"))
+
+    def by_table(batches):
+        for batch in batches:
+            many = batch.num_rows
+            names = np.frombuffer(b"".join(batch.column("keys").to_pylist()), np.int64).reshape(many, tables)
+            for t in range(tables):  # a key of one table is none of another
+                yield pa.record_batch({"tbl": pa.array(np.full(many, t, np.int32)), "name": pa.array(np.ascontiguousarray(names[:, t])),
+                                       "node": batch.column("node"), "comp": batch.column("comp"), "size": batch.column("size")})
+
+    key = ["tbl", "name"]
+    rows = R.written(classes.select("node", "comp", "size", "keys").mapInArrow(
+        by_table, "tbl int, name long, node long, comp long, size long"), "open")
+    mixed = rows.groupBy(*key).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"), F.min("comp").alias("low"),
+                                   F.max("comp").alias("high")).where("low < high").drop("low", "high")
+    placed = rows.join(mixed, key).withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    left = placed.select(*key, F.col("own").alias("one"), F.explode(F.sequence("own", F.col("blocks") - 1)).alias("two"),
+                         F.col("node").alias("x"), F.col("comp").alias("cx"), F.col("size").alias("sx"))
+    right = placed.select(*key, F.explode(F.sequence(F.lit(0), "own")).alias("one"), F.col("own").alias("two"),
+                          F.col("node").alias("y"), F.col("comp").alias("cy"), F.col("size").alias("sy"))
+    found = left.join(right, [*key, "one", "two"]).where(
+        "cx <> cy and (one < two or x < y)").where(100 * F.least("sx", "sy") >= percent * F.greatest("sx", "sy"))
+    found = found.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    return found.join(pairs, ["a", "b"], "left_anti")
+
+
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE, k: int = 3, miss: float = 1e-3,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Groups of documents linked by Jaccard similarity >= percent / 100 of their word shingles.
@@ -225,7 +285,12 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, shingle: int = SHIN
     packed = R.written(signatures(df, "c0", "c1", n, shingle, m, k), "minhash")
     pairs = packed.where("names is not null").select("bucket", "names", "docs").groupBy("bucket").applyInArrow(_meet_pairs, "a long, b long")
     pairs = R.written(pairs.unionByName(_unpacked(packed, "lefts", "rights", "a long, b long")).distinct(), "pairs")
-    members = components(confirmed(df, "c0", "c1", pairs, n, shingle, percent))
+    members = R.written(components(confirmed(df, "c0", "c1", pairs, n, shingle, percent)), "members")
+    more = R.written(unsettled(packed, pairs, members, m * m, percent), "pairs")
+    if not more.isEmpty():
+        named = R.written(more.select(F.explode(F.array("a", "b")).alias("c0")).distinct(), "named")
+        links = confirmed(df.join(named, "c0", "left_semi"), "c0", "c1", more, n, shingle, percent)
+        members = components(links.unionByName(members.select(F.col("component_id").alias("a"), F.col("node").alias("b"))))
     # a size below 0 marks a row without id
     rows = _unpacked(packed, "ids", "sizes", "node long, size long")
     rows = rows.select(F.when(F.col("size") >= 0, F.col("node")).alias("node"),
