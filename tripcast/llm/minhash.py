@@ -16,10 +16,11 @@ Equal sets share one more key, so that they always end in one component.
 
 The centres leave out pairs, and that matters only where documents under one key are
 still in different components. Then some candidate pair joins two components, since
-the candidates of a key connect all its documents. So the documents of those
-components meet once more by key, one per set and component, in blocks, and each pair
-from different components whose sizes allow a link is confirmed as well: every pair
-that a table puts together is linked, or in one component, or known to be unlike.
+the candidates of a key connect all its documents. So the documents of components
+that candidate pairs connect meet once more, one per set and component, in pairs of
+blocks; there those from different components that share a key and whose sizes allow
+a link are confirmed, and only links that join components leave the task. So every
+pair that a table puts together is linked, or in one component, or known to be unlike.
 """
 
 from __future__ import annotations
@@ -38,7 +39,7 @@ from tripcast.llm.text import U, Words, mix, ngrams, slices, split
 SHINGLE = 5
 PERCENT = 80
 SMALL = 8  # members of a key's group that are also compared with their neighbours
-BLOCK = 2048  # documents of a key that meet those of another block in one place
+BLOCK = 256  # documents that are compared with those of another block in one place
 PACKED = R.NAMES + ", ids binary, sizes binary, lefts binary, rights binary, owners binary, keys binary"
 
 
@@ -144,7 +145,7 @@ def signatures(df: DataFrame, key: str, text: str, n: int, shingle: int, m: int,
                 rows, left, right, keys = None, np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, U)
                 if len(use):
                     names = tensor_keys([sets[i] for i in use], m, k)
-                    keys = np.concatenate((names, sizes[use, None].astype(U)), axis=1)
+                    keys = names
                     odd = np.arange(m * m + 1, dtype=U) & U(1)
                     names = ((names & ~U(1)) | odd).ravel()
                     docs = np.stack([_scrambled(own[use]) if o else own[use] for o in odd], axis=1).ravel()
@@ -221,52 +222,74 @@ def confirmed(df: DataFrame, key: str, text: str, pairs: DataFrame, n: int, shin
 
 
 def _keys_of(packed: DataFrame, tables: int) -> DataFrame:
-    """node, size, same (name of its set) and keys of each document with a set."""
-    schema = "node long, size long, same long, keys binary"
+    """node, same (name of its set) and keys of each document with a set."""
 
     def flat(batches):
         for batch in batches:
             for x, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                keys = np.frombuffer(y, np.int64).reshape(-1, tables + 2)
-                yield pa.record_batch({"node": np.frombuffer(x, np.int64), "size": keys[:, -1], "same": keys[:, -2],
+                keys = np.frombuffer(y, np.int64).reshape(-1, tables + 1)
+                yield pa.record_batch({"node": np.frombuffer(x, np.int64), "same": np.ascontiguousarray(keys[:, -1]),
                                        "keys": pa.array([k.tobytes() for k in np.ascontiguousarray(keys[:, :tables])], pa.binary())})
 
-    return packed.where("owners is not null").select("owners", "keys").mapInArrow(flat, schema)
+    return packed.where("owners is not null").select("owners", "keys").mapInArrow(flat, "node long, same long, keys binary")
 
 
-def unsettled(packed: DataFrame, pairs: DataFrame, members: DataFrame, tables: int, percent: int) -> DataFrame:
-    """Pairs (a, b) of documents under one key, from different components, that are not among the pairs yet."""
+def late_links(df: DataFrame, packed: DataFrame, pairs: DataFrame, members: DataFrame, tables: int, shingle: int, percent: int) -> DataFrame:
+    """Links (a, b) between components whose documents share a key, as many as join what such links join.
+
+    df holds the texts (c1) by id (c0). Work is dealt by what the candidate pairs connect, in pairs of blocks.
+    """
     comp = members.select("node", F.col("component_id").alias("comp"))
     sides = [comp.select(F.col("node").alias(x), F.col("comp").alias(f"c{x}")) for x in "ab"]
     met = pairs.join(sides[0], "a", "left").join(sides[1], "b", "left").select(
-        F.coalesce("ca", "a").alias("ca"), F.coalesce("cb", "b").alias("cb")).where("ca <> cb")
-    open_ = R.written(met.select(F.explode(F.array("ca", "cb")).alias("comp")).distinct(), "open")
+        F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")).where("a <> b")
+    whole = R.written(components(met).toDF("comp", "whole"), "open")
     keyed = _keys_of(packed, tables).join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    classes = keyed.join(open_, "comp", "left_semi").groupBy("same", "comp").agg(
-        F.min("node").alias("node"), F.any_value("size").alias("size"), F.any_value("keys").alias("keys"))
-
-    def by_table(batches):
+    classes = R.written(keyed.join(whole, "comp").groupBy("whole", "same", "comp").agg(
+        F.min("node").alias("node"), F.any_value("keys").alias("keys")), "classes")
+    blocks = classes.groupBy("whole").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    placed = classes.join(blocks, "whole").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    placed = placed.select("whole", F.least("own", "other").alias("one"), F.greatest("own", "other").alias("two"), "own", "node", "comp", "keys")
+
+    def sets_of(batches):
         for batch in batches:
-            many = batch.num_rows
-            names = np.frombuffer(b"".join(batch.column("keys").to_pylist()), np.int64).reshape(many, tables)
-            for t in range(tables):  # a key of one table is none of another
-                yield pa.record_batch({"tbl": pa.array(np.full(many, t, np.int32)), "name": pa.array(np.ascontiguousarray(names[:, t])),
-                                       "node": batch.column("node"), "comp": batch.column("comp"), "size": batch.column("size")})
-
-    key = ["tbl", "name"]
-    rows = R.written(classes.select("node", "comp", "size", "keys").mapInArrow(
-        by_table, "tbl int, name long, node long, comp long, size long"), "open")
-    mixed = rows.groupBy(*key).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"), F.min("comp").alias("low"),
-                                   F.max("comp").alias("high")).where("low < high").drop("low", "high")
-    placed = rows.join(mixed, key).withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    left = placed.select(*key, F.col("own").alias("one"), F.explode(F.sequence("own", F.col("blocks") - 1)).alias("two"),
-                         F.col("node").alias("x"), F.col("comp").alias("cx"), F.col("size").alias("sx"))
-    right = placed.select(*key, F.explode(F.sequence(F.lit(0), "own")).alias("one"), F.col("own").alias("two"),
-                          F.col("node").alias("y"), F.col("comp").alias("cy"), F.col("size").alias("sy"))
-    found = left.join(right, [*key, "one", "two"]).where(
-        "cx <> cy and (one < two or x < y)").where(100 * F.least("sx", "sy") >= percent * F.greatest("sx", "sy"))
-    found = found.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    return found.join(pairs, ["a", "b"], "left_anti")
+            for part, texts in slices(pa.Table.from_batches([batch]), "c1"):
+                found = [s.tobytes() for s in shingle_sets(split(texts, lower=True), shingle)]
+                yield pa.record_batch({"node": part["c0"].combine_chunks(), "found": pa.array(found, pa.binary())})
+
+    mine = df.join(classes.select(F.col("node").alias("c0")).distinct(), "c0", "left_semi").select("c0", "c1")
+    work = placed.join(mine.mapInArrow(sets_of, "node long, found binary"), "node")
+
+    def settle(table: pa.Table) -> pa.Table:
+        one, two = table["one"][0].as_py(), table["two"][0].as_py()
+        node, comp, own = (table[c].to_numpy() for c in ("node", "comp", "own"))
+        keys = np.frombuffer(b"".join(table["keys"].to_pylist()), np.int64).reshape(-1, tables)
+        sets = [np.frombuffer(b, U) for b in table["found"].to_pylist()]
+        sizes = np.array([len(s) for s in sets])
+        parent: dict[int, int] = {}
+
+        def root(x: int) -> int:
+            while parent.setdefault(x, x) != x:
+                parent[x] = parent[parent[x]]
+                x = parent[x]
+            return x
+
+        right = np.flatnonzero(own == two)
+        a, b = [], []
+        for i in np.flatnonzero(own == one).tolist():
+            js = right[right > i] if one == two else right
+            fits = 100 * np.minimum(sizes[js], sizes[i]) >= percent * np.maximum(sizes[js], sizes[i])
+            js = js[(comp[js] != comp[i]) & fits]
+            for j in js[(keys[js] == keys[i]).any(axis=1)].tolist():
+                x, y = root(int(comp[i])), root(int(comp[j]))
+                if x != y and similar(sets[i], sets[j], percent):
+                    parent[max(x, y)] = min(x, y)
+                    a.append(node[i])
+                    b.append(node[j])
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return work.groupBy("whole", "one", "two").applyInArrow(settle, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE, k: int = 3, miss: float = 1e-3,
@@ -286,11 +309,9 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, shingle: int = SHIN
     pairs = packed.where("names is not null").select("bucket", "names", "docs").groupBy("bucket").applyInArrow(_meet_pairs, "a long, b long")
     pairs = R.written(pairs.unionByName(_unpacked(packed, "lefts", "rights", "a long, b long")).distinct(), "pairs")
     members = R.written(components(confirmed(df, "c0", "c1", pairs, n, shingle, percent)), "members")
-    more = R.written(unsettled(packed, pairs, members, m * m, percent), "pairs")
-    if not more.isEmpty():
-        named = R.written(more.select(F.explode(F.array("a", "b")).alias("c0")).distinct(), "named")
-        links = confirmed(df.join(named, "c0", "left_semi"), "c0", "c1", more, n, shingle, percent)
-        members = components(links.unionByName(members.select(F.col("component_id").alias("a"), F.col("node").alias("b"))))
+    late = R.written(late_links(df, packed, pairs, members, m * m, shingle, percent), "late")
+    if not late.isEmpty():
+        members = components(late.unionByName(members.select(F.col("component_id").alias("a"), F.col("node").alias("b"))))
     # a size below 0 marks a row without id
     rows = _unpacked(packed, "ids", "sizes", "node long, size long")
     rows = rows.select(F.when(F.col("size") >= 0, F.col("node")).alias("node"),
