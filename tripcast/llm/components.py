@@ -3,8 +3,8 @@
 Large star: every node's larger neighbours attach to the smallest node it knows;
 small star: the node and its smaller neighbours do. Each round is two aggregations
 and two joins on shuffled tables, written to the shared folder; nothing is gathered
-on the driver but a count and a checksum. Links end as a star around each
-component's smallest node.
+on the driver but one count. The rounds end when links are stars, each around the
+smallest node of its component.
 """
 
 from __future__ import annotations
@@ -28,6 +28,14 @@ def _small_star(links: DataFrame) -> DataFrame:
     return moved.union(least.select(F.col("m"), F.col("b"))).toDF("a", "b").where("a < b")
 
 
+def _stars(links: DataFrame) -> bool:
+    """Whether each larger end of a link occurs in that link only."""
+    ends = links.select(F.col("b").alias("node"), F.lit(1).alias("larger")).unionByName(
+        links.select(F.col("a").alias("node"), F.lit(0).alias("larger")))
+    seen = ends.groupBy("node").agg(F.sum("larger").alias("larger"), F.count("*").alias("all"))
+    return seen.where("larger > 0 and all > 1").agg(F.count("*")).first()[0] == 0
+
+
 def components(links: DataFrame) -> DataFrame:
     """links(a long, b long) to members(node long, component_id long): each node with the smallest one reachable.
 
@@ -35,15 +43,11 @@ def components(links: DataFrame) -> DataFrame:
     without a link to another one are not listed.
     """
     spark = links.sparkSession
-    now = R.written(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct(), "links")
-    state, old = None, []
-    while True:
+    now = R.written(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b"), "links")
+    old = []
+    while not _stars(now):
         old.append(now)
         now = R.written(_small_star(_large_star(now)).distinct(), "links")
-        new = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if state == new:
-            break
-        state = new
     R.dropped(spark, *old)
     return now.select(F.col("b").alias("node"), F.col("a").alias("component_id")).unionByName(
         now.select(F.col("a").alias("node"), F.col("a").alias("component_id")).distinct())

@@ -235,7 +235,7 @@ def _keys_of(packed: DataFrame, tables: int) -> DataFrame:
 
 
 def late_links(df: DataFrame, packed: DataFrame, pairs: DataFrame, members: DataFrame, tables: int, shingle: int, percent: int) -> DataFrame:
-    """Links (a, b) between components whose documents share a key, as many as join what such links join.
+    """Links (a, b) between component ids whose documents share a key, as many as join what such links join.
 
     df holds the texts (c1) by id (c0). Work is dealt by what the candidate pairs connect, in pairs of blocks.
     """
@@ -263,7 +263,7 @@ def late_links(df: DataFrame, packed: DataFrame, pairs: DataFrame, members: Data
 
     def settle(table: pa.Table) -> pa.Table:
         one, two = table["one"][0].as_py(), table["two"][0].as_py()
-        node, comp, own = (table[c].to_numpy() for c in ("node", "comp", "own"))
+        comp, own = table["comp"].to_numpy(), table["own"].to_numpy()
         keys = np.frombuffer(b"".join(table["keys"].to_pylist()), np.int64).reshape(-1, tables)
         sets = [np.frombuffer(b, U) for b in table["found"].to_pylist()]
         sizes = np.array([len(s) for s in sets])
@@ -285,8 +285,8 @@ def late_links(df: DataFrame, packed: DataFrame, pairs: DataFrame, members: Data
                 x, y = root(int(comp[i])), root(int(comp[j]))
                 if x != y and similar(sets[i], sets[j], percent):
                     parent[max(x, y)] = min(x, y)
-                    a.append(node[i])
-                    b.append(node[j])
+                    a.append(comp[i])
+                    b.append(comp[j])
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     return work.groupBy("whole", "one", "two").applyInArrow(settle, "a long, b long")
@@ -309,13 +309,12 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, shingle: int = SHIN
     pairs = packed.where("names is not null").select("bucket", "names", "docs").groupBy("bucket").applyInArrow(_meet_pairs, "a long, b long")
     pairs = R.written(pairs.unionByName(_unpacked(packed, "lefts", "rights", "a long, b long")).distinct(), "pairs")
     members = R.written(components(confirmed(df, "c0", "c1", pairs, n, shingle, percent)), "members")
-    late = R.written(late_links(df, packed, pairs, members, m * m, shingle, percent), "late")
-    if not late.isEmpty():
-        members = components(late.unionByName(members.select(F.col("component_id").alias("a"), F.col("node").alias("b"))))
+    joined = components(late_links(df, packed, pairs, members, m * m, shingle, percent)).toDF("comp", "whole")
     # a size below 0 marks a row without id
     rows = _unpacked(packed, "ids", "sizes", "node long, size long")
     rows = rows.select(F.when(F.col("size") >= 0, F.col("node")).alias("node"),
                        F.when(F.col("size") >= 0, F.col("size")).otherwise(-1 - F.col("size")).alias("n_shingles"))
-    out = rows.join(members, "node", "left").select(
-        F.col("node").alias(id_col), "n_shingles", F.coalesce("component_id", "node").alias("component_id"))
+    rows = rows.join(members, "node", "left").withColumn("comp", F.coalesce("component_id", "node"))
+    out = rows.join(joined, "comp", "left").select(
+        F.col("node").alias(id_col), "n_shingles", F.coalesce("whole", "comp").alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col(id_col) == F.col("component_id"), F.lit(True)))
