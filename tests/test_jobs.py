@@ -64,3 +64,21 @@ def test_trip_job_rerun_is_idempotent(spark, work):
     batch.run_trip_job(pick, drop, zones, out)  # replay
     again = {t: spark.read.parquet(os.path.join(out, t)).count() for t in counts}
     assert counts == again and all(v > 0 for v in counts.values())
+
+
+def test_trip_ids_follow_the_rows_not_the_files(spark, tmp_path, monkeypatch):
+    from tripcast.operators import eventlog
+
+    monkeypatch.setattr(eventlog, "COPIES_PER_BLOCK", 3)  # several blocks of one row's copies
+    rows = [("a#b", None)] * 8 + [("a", "b"), (None, "a#b"), ("a", "b")]
+    df = spark.createDataFrame(rows, "x string, y string")
+    ids = []
+    for files in (1, 5):
+        path = str(tmp_path / f"rows{files}")
+        df.repartition(files).write.parquet(path)
+        got = eventlog.assign_trip_ids(spark.read.parquet(path)).collect()
+        assert sorted((r.x or "", r.y or "") for r in got) == sorted((x or "", y or "") for x, y in rows)
+        ids.append({r.trip_id for r in got})
+    assert len(ids[0]) == len(rows)
+    assert ids[0] == ids[1]
+    assert eventlog.assign_trip_ids(df.limit(0)).count() == 0

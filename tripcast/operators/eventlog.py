@@ -14,6 +14,7 @@ from tripcast.config import DEFAULT_RULES, Rules
 from tripcast.functions.timefn import iso_string
 
 DROPOFF_RANK, PICKUP_RANK = 0, 1
+COPIES_PER_BLOCK = 10_000  # of equal rows numbered in one task
 
 
 def pickup_payload(trip_id: Column, pickup_ts: Column, zone: Column, passengers: Column) -> Column:
@@ -40,18 +41,31 @@ def dropoff_payload(trip_id: Column, dropoff_ts: Column, zone: Column,
     ))
 
 
+def row_text(columns: list[str]) -> Column:
+    """Unambiguous text of a row: each value with its length, in order of the column names."""
+    def one(c: str) -> Column:
+        text = F.col(f"`{c}`").cast("string")
+        return F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-"))
+    return F.concat_ws("#", *(one(c) for c in sorted(columns)))
+
+
 def assign_trip_ids(df: DataFrame, id_col: str = "trip_id") -> DataFrame:
-    """Deterministic surrogate id per source row (O3).
+    """Deterministic surrogate id per source row (O3): hash of the row and its number among equal rows.
 
-    A file scan knows each row's file and position (``_metadata``), which is
-    unique and stable across re-reads, unlike a random UUID, and needs no
-    shuffle. Only valid directly on a file-source DataFrame.
+    Ids don't depend on files or their order, so they outlive a rewrite or move of
+    the table. Equal rows are counted (map-side first) and numbered when they are
+    written out again in blocks, so that many copies of a row don't meet in a task.
     """
-    return df.withColumn(
-        id_col,
-        F.sha2(F.concat_ws("#", F.col("_metadata.file_path"),
-                           F.col("_metadata.row_index").cast("string")), 256),
-    )
+    columns = df.columns
+    counted = df.groupBy(*(F.col(f"`{c}`") for c in columns)).agg(F.count("*").alias("_copies"))
+    blocks = counted.withColumn("_block", F.explode(F.sequence(
+        F.lit(0).cast("long"), F.floor((F.col("_copies") - 1) / COPIES_PER_BLOCK))))
+    first = F.col("_block") * COPIES_PER_BLOCK
+    spread = blocks.repartition(*(F.col(f"`{c}`") for c in columns), F.col("_block"))
+    numbered = spread.withColumn("_number", F.explode(F.sequence(
+        first, F.least(first + COPIES_PER_BLOCK, F.col("_copies")) - 1)))
+    return numbered.select(*(F.col(f"`{c}`") for c in columns), F.sha2(
+        F.concat_ws("#", row_text(columns), F.col("_number").cast("string")), 256).alias(id_col))
 
 
 def trip_events(trips: DataFrame, rules: Rules = DEFAULT_RULES,

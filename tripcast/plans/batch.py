@@ -128,8 +128,8 @@ def run_cleaning_job(raw: DataFrame, zones: DataFrame, raw_trips_path: str,
 def run_publish_job(raw_trips: DataFrame, event_log_path: str, rules: Rules = DEFAULT_RULES) -> bool:
     """Derive the event log of a raw_trips table and publish it (O2-O4, K-S8, K-S9).
 
-    Trip ids come from each row's file position (O3), so a re-run derives
-    the same ids. The log is written in replay order, partitioned by topic;
+    Trip ids come from each row's content (O3), so a re-run derives the same
+    ids, also after the table was rewritten. The log is written in replay order, partitioned by topic;
     a non-empty target is refused.
     """
     from tripcast.operators import eventlog

@@ -235,6 +235,11 @@ inv_first AS (
   QUALIFY row_number() OVER (PARTITION BY trip_id ORDER BY event_time, invalid_reason) = 1)"""
 
 
+_LINEITEM_TEXT = ", ".join(f"coalesce(length({c}::VARCHAR) || ':' || {c}::VARCHAR, '-')" for c in (
+    "l_discount", "l_extendedprice", "l_linenumber", "l_linestatus", "l_orderkey", "l_partkey",
+    "l_quantity", "l_returnflag", "l_shipdate", "l_suppkey", "l_tax"))
+
+
 def oracle_sql() -> dict[str, str]:
     from tripcast.plans.queries import METRIC_IDS
 
@@ -264,6 +269,9 @@ def oracle_sql() -> dict[str, str]:
         "j5_zone_semi": f"WITH {RAW_B} SELECT {RAW_COLS} FROM cb WHERE pz IN (SELECT location_id FROM vz) AND dz IN (SELECT location_id FROM vz)",
         "j5_zone_anti": f"""WITH {RAW_B} SELECT {RAW_COLS} FROM cb
   WHERE pz IS NULL OR dz IS NULL OR pz NOT IN (SELECT location_id FROM vz) OR dz NOT IN (SELECT location_id FROM vz)""",
+        "o3_trip_ids": f"""
+SELECT l_orderkey, l_linenumber, sha256(row || '#' || (row_number() OVER (PARTITION BY row) - 1)) AS trip_id
+FROM (SELECT *, concat_ws('#', {_LINEITEM_TEXT}) AS row FROM lineitem)""",
         "o2_event_log": with_trips(f"""
   SELECT '{R.pickup_topic}' AS topic, trip_id AS key, pickup_ts AS event_time, 1 AS kind_rank, raw_payload AS value FROM ppay
   UNION ALL

@@ -131,7 +131,7 @@ def o2_event_log(spark, sf):
 
 
 def o3_trip_ids(spark, sf):
-    """Stable surrogate id per source row (file + row position); no SQL check: ids embed file paths."""
+    """Stable surrogate id per source row, from the row and its number among equal rows."""
     li = eventlog.assign_trip_ids(fixtures.load_table(spark, sf, "lineitem"))
     return li.select("l_orderkey", "l_linenumber", "trip_id")
 
