@@ -123,3 +123,11 @@ def test_streaming_invalid_trips_first_emitted(spark, streamed):
     want = writers.first_invalid(streamed_trips).select("trip_id", "invalid_reason")
     assert got.count() == got.select("trip_id").distinct().count()
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_table_readers_start_before_the_first_trip(spark, tmp_path):
+    out = str(tmp_path / "out")
+    q = jobs.start_invalid_query(spark, out, R, trigger={"availableNow": True}, checkpoint_root=str(tmp_path / "ckpt"))
+    q.awaitTermination(60)
+    assert q.exception() is None
+    assert os.path.isdir(os.path.join(out, "trips"))

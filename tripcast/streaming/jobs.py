@@ -101,6 +101,14 @@ def _aggregate_sink(out_dir: str):
     return write
 
 
+def _trips_stream(spark: SparkSession, out_dir: str) -> DataFrame:
+    """The trips table as a stream; its folder is made if no trip was written yet, so all queries can start at once."""
+    path = os.path.join(out_dir, "trips")
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
+    return spark.readStream.schema(TRIPS).parquet(path)
+
+
 def start_trip_query(spark: SparkSession, pickup_src: TopicSource, dropoff_src: TopicSource, out_dir: str,
                      rules: Rules = DEFAULT_RULES, trigger: dict | None = None,
                      checkpoint_root: str | None = None) -> list[StreamingQuery]:
@@ -125,7 +133,7 @@ def start_invalid_query(spark: SparkSession, out_dir: str, rules: Rules = DEFAUL
     """invalid_trips from the trips table: first emitted row per trip_id (K-S2)."""
     root = checkpoint_root or os.path.join(checkpoint_dir(spark), "streams")
     trigger = trigger or {"processingTime": "10 seconds"}
-    trips = spark.readStream.schema(TRIPS).parquet(os.path.join(out_dir, "trips"))
+    trips = _trips_stream(spark, out_dir)
     first = trips.where(~F.col("is_valid")).groupBy("trip_id").transformWithState(
         FirstInvalidProcessor(), TRIPS, "Append", "None")
     return (first.drop("is_valid").writeStream.foreachBatch(_epoch_sink(os.path.join(out_dir, "invalid_trips")))
@@ -152,7 +160,7 @@ def start_metric_queries(spark: SparkSession, zones: DataFrame, out_dir: str, ru
     trigger = trigger or {"processingTime": "10 seconds"}
     out = []
     for g in M.grains(rules):
-        trips = spark.readStream.schema(TRIPS).parquet(os.path.join(out_dir, "trips"))
+        trips = _trips_stream(spark, out_dir)
         rows = stream_metric_rows(trips, g, zones, rules)
         out.append(rows.writeStream.foreachBatch(_aggregate_sink(out_dir)).outputMode("append")
                    .option("checkpointLocation", os.path.join(root, f"metrics_{g.name}"))
