@@ -41,7 +41,7 @@ def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of power-of-two length, at most 1024 tokens."""
-    return packing.pack(docs, vocabulary("byte_bpe_50k.json"))
+    return packing.pack(docs, vocabulary("byte_bpe_50k.json"), added=True)
 
 
 STAGES = [

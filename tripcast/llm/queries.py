@@ -25,7 +25,7 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = packing.pack(_read(spark, sf_dir, "documents", "doc_id", "text"), vocabulary("byte_bpe_50k.json"))
+    out = packing.pack(_read(spark, sf_dir, "documents", "doc_id", "text"), vocabulary("byte_bpe_50k.json"), added=True)
     return out.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
