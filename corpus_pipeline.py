@@ -35,8 +35,8 @@ def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Remove passages of 13 or more words that an earlier document holds."""
-    return substring.substring_dedup(docs).select(*docs.columns)
+    """Remove passages of 13 or more words that an earlier document holds; all other bytes stay."""
+    return substring.substring_dedup(docs, joined=False).select(*docs.columns)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -111,7 +112,8 @@ def _dealt(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, list
     return df.withColumn("grp", F.pmod(F.xxhash64(F.coalesce(key, F.xxhash64(text))), F.lit(n)).cast("int")), names, n
 
 
-def substring_dedup(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def substring_dedup(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text",
+                    joined: bool = True) -> DataFrame:
     """Remove each word covered by a window of ``window`` words that also starts in a document with a smaller id.
 
     Returns docs with the text replaced by the kept words joined by one space, and
@@ -120,6 +122,9 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id
     lose nothing but their white space (null becomes empty). Rows without id are
     neither compared nor changed otherwise. Rows that share an id are judged each on
     its own text and never against each other.
+
+    Without joined only runs of removed words are cut, with the white space inside a
+    run: all other bytes stay, and texts that lose no word (null too) stay as they are.
     """
     if window < 2 * SIDE + SPAN:
         raise ValueError(f"window must have at least {2 * SIDE + SPAN} words")
@@ -173,7 +178,10 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id
                 np.add.at(cover, at[gone], 1)
                 np.add.at(cover, at[gone] + window, -1)
             lost = np.cumsum(cover[:-1]) > 0
-            texts_out.append(words.kept_text(~lost))
+            if joined:
+                texts_out.append(words.kept_text(~lost))
+            else:
+                texts_out.append(pc.if_else(part[text].combine_chunks().is_null(), pa.scalar(None, pa.large_string()), words.cut_text(lost)))
             total.append(words.counts())
             removed.append(np.bincount(words.doc[lost], minlength=words.n_docs))
         out = table.drop_columns(["grp"])

@@ -101,6 +101,21 @@ class Words:
         return pa.LargeStringArray.from_buffers(n, pa.py_buffer(sums[self.offsets].astype(np.int64)),
                                                 pa.py_buffer(data[keep].tobytes()))
 
+    def cut_text(self, lost: np.ndarray) -> pa.Array:
+        """Each document's bytes without its runs of lost words (and the white space inside a run)."""
+        opens, closes = lost.copy(), lost.copy()
+        if len(lost):
+            follows = lost[1:] & lost[:-1] & (self.doc[1:] == self.doc[:-1])
+            opens[1:] &= ~follows
+            closes[:-1] &= ~follows
+        edge = np.zeros(len(self.data) + 1, np.int8)
+        edge[self.starts[opens]] += 1
+        edge[self.ends[closes]] -= 1
+        keep = np.cumsum(edge, dtype=np.int8)[:-1] == 0
+        sums = np.concatenate(([0], np.cumsum(keep)))
+        return pa.LargeStringArray.from_buffers(self.n_docs, pa.py_buffer(sums[self.offsets].astype(np.int64)),
+                                                pa.py_buffer(self.data[keep].tobytes()))
+
 
 def as_large(texts: pa.Array | pa.ChunkedArray) -> pa.Array:
     """One LargeBinary array without nulls (a null text is empty)."""
