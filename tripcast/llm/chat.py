@@ -138,11 +138,13 @@ def link_tool_calls(messages: DataFrame, schemas: dict[str, dict]) -> DataFrame:
     """One row per message, call and result with its order key, status and canonical JSON.
 
     messages: ``conv_id``, ``turn`` (long), ``role``, ``text``, ``tool_calls``
-    (array<struct<id, name, arguments: string>>, null for none) and ``tool_call_id`` (of a
-    message of role tool); other columns are left out. Order a conversation by (at,
+    (array<struct<id, name, arguments: string>>, null for none; of any role) and ``tool_call_id``
+    (of a message of role tool); other columns are left out. A message of role tool is a result,
+    and its own calls wait for the call that it answers. Order a conversation by (at,
     level, kind, turn, pos): calls precede their results and all that refers to them.
     Status: ``ok``; calls: ``duplicate`` (a later call of the same identifier, or one without an identifier),
-    ``cycle``, ``unreadable``, ``unknown_tool``, ``invalid`` or ``unanswered`` (the first that holds);
+    ``cycle``, ``unreadable``, ``unknown_tool``, ``invalid``, ``unresolved`` (a reference to an identifier
+    that no call of the conversation has) or ``unanswered`` (the first that holds);
     results: ``orphan``. Null texts are JSON null; rows without conversation link with
     nothing; repeated messages are messages of their own; an empty table gives no row.
     """
@@ -151,23 +153,27 @@ def link_tool_calls(messages: DataFrame, schemas: dict[str, dict]) -> DataFrame:
     plain = said.select("conv", F.col("turn").alias("at"), F.lit(0).alias("level"), F.lit(0).alias("kind"), "turn", F.lit(-1).alias("pos"),
                         F.lit(None).cast("string").alias("call_id"), F.lit("ok").alias("status"),
                         F.to_json(F.struct(F.col("text").alias("content"), "role"), {"ignoreNullFields": "false"}).alias("json"))
-    every = said.select("conv", "turn", F.posexplode("tool_calls").alias("pos", "c")).select(
-        "conv", "turn", "pos", "c.id", "c.name", "c.arguments", F.xxhash64("c").alias("same"), F.monotonically_increasing_id().alias("row"))
+    answers_to = F.when(F.col("role") == "tool", F.col("tool_call_id")).alias("of")
+    every = rows.select("conv", "turn", answers_to, F.posexplode("tool_calls").alias("pos", "c")).select(
+        "conv", "turn", "of", "pos", "c.id", "c.name", "c.arguments", F.xxhash64("c").alias("same"), F.monotonically_increasing_id().alias("row"))
     every = R.written(_checked(every, schemas), "calls")
     # the first call of an identifier has it
     first = every.where("conv is not null and id is not null").groupBy("conv", "id").agg(
-        F.min(F.struct("turn", "pos", "row", "refs")).alias("f")).select("conv", "id", "f.turn", "f.row", "f.refs")
+        F.min(F.struct("turn", "pos", "row", "refs", "of")).alias("f")).select("conv", "id", "f.turn", "f.row", "f.refs", "f.of")
+    lost = first.select("conv", "id", F.explode("refs").alias("need")).join(
+        first.select("conv", F.col("id").alias("need")), ["conv", "need"], "left_anti").select("conv", "id", F.lit(True).alias("lost")).distinct()
+    waits = F.when(F.col("of").isNull(), F.col("refs")).otherwise(F.array_union("refs", F.array("of")))
     results = rows.where("role = 'tool'").select("conv", "turn", F.col("tool_call_id").alias("id"), "text")
     answered = results.where("conv is not null and id is not null").groupBy("conv", "id").agg(F.max("turn").alias("last"))
-    times = _times(first.drop("row"), answered)
+    times = _times(first.select("conv", "id", "turn", waits.alias("refs")), answered)
     owners = first.join(times, ["conv", "id"], "left").select(
         "conv", "id", F.col("row").alias("owner"), F.coalesce("at", "turn").alias("at"), F.coalesce("level", F.lit(0)).alias("level"),
         F.coalesce("cycle", F.lit(False)).alias("cycle"))
-    owners = owners.join(answered.select("conv", "id", F.lit(True).alias("has")), ["conv", "id"], "left")
+    owners = owners.join(answered.select("conv", "id", F.lit(True).alias("has")), ["conv", "id"], "left").join(lost, ["conv", "id"], "left")
     owned = every.join(owners, ["conv", "id"], "left")
     status = (F.when(F.col("owner").isNull() | (F.col("owner") != F.col("row")), "duplicate").when(F.col("cycle"), "cycle")
               .when(F.col("args").isNull(), "unreadable").when(F.col("wrong") == "unknown tool", "unknown_tool").when(F.col("wrong").isNotNull(), "invalid")
-              .when(F.col("has").isNull(), "unanswered").otherwise("ok"))
+              .when(F.col("lost"), "unresolved").when(F.col("has").isNull(), "unanswered").otherwise("ok"))
     is_owner = F.coalesce(F.col("owner") == F.col("row"), F.lit(False))
     text = lambda c: F.when(F.col(c).isNull(), F.lit("null")).otherwise(F.expr(f"substring(to_json(named_struct('x', {c})), 6, length(to_json(named_struct('x', {c}))) - 6)"))
     calls = owned.select("conv", F.when(is_owner, F.col("at")).otherwise(F.col("turn")).alias("at"), F.when(is_owner, F.col("level")).otherwise(0).alias("level"),
