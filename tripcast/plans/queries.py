@@ -19,7 +19,7 @@ from tripcast.operators import cleaning, eventlog, metrics as M, trips as T_, va
 from tripcast.plans import batch, reports
 from tripcast.sinks import writers
 from tripcast.sources import fixtures
-from tripcast.sources.trips import date_slices, ordered_trips
+from tripcast.sources.trips import ordered_trips, year_slices
 from tripcast.sources.zones import valid_zone_ids
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,14 +59,13 @@ def s2_raw_trips(spark, sf):
     return fixtures.raw_trip_fixture(spark, sf)
 
 
-# slices covering every order year of the test data (1995..2001)
-YEAR_SLICES = [(n, f"{y}-01-01", f"{y}-12-31") for n, y in enumerate(range(1995, 2002), start=1)]
+FIRST_YEAR = 1995  # has slice number 1
 
 
 def s3_date_slices(spark, sf):
     raw = fixtures.raw_trip_fixture(spark, sf).withColumn(
         "_pickup", F.try_to_timestamp(F.col("pickup_datetime")))
-    return date_slices(raw, YEAR_SLICES, ts_col="_pickup").drop("_pickup")
+    return year_slices(raw, FIRST_YEAR, ts_col="_pickup").drop("_pickup")
 
 
 def s4_ordered_trips(spark, sf):

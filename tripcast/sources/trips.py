@@ -55,6 +55,14 @@ def date_slices(df: DataFrame, slices: Sequence[tuple[int, str, str]],
     )
 
 
+def year_slices(df: DataFrame, first_year: int, ts_col: str = "pickup_datetime", slice_col: str = "slice_no") -> DataFrame:
+    """Rows with a time, in one slice per calendar year (S3); ``first_year`` is number 1, earlier years have 0 and less.
+
+    The number follows from the row alone, so no year that the data holds is left out.
+    """
+    return df.where(F.col(ts_col).isNotNull()).withColumn(slice_col, F.year(ts_col) - F.lit(first_year - 1))
+
+
 def ordered_trips(df: DataFrame, columns: Sequence[str] | None = None,
                   order_col: str = "pickup_datetime") -> DataFrame:
     """Projected columns in event-time order (S4, O1): a range-partitioned sort."""
