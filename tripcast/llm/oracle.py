@@ -74,6 +74,27 @@ least AS (SELECT node AS vec_id, min(low) AS low FROM reach GROUP BY node)
 SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, coalesce(low, vec_id)) AS component_id, vec_id <= coalesce(low, vec_id) AS kept
 FROM embeddings LEFT JOIN counts USING (vec_id) LEFT JOIN least USING (vec_id)"""
 
+OP12 = f"""WITH texts AS (SELECT doc_id, coalesce(text, '') AS t, coalesce(lang, '') AS part FROM documents),
+lists AS (SELECT *, regexp_extract_all(t, '{_WORD}') AS ws, min(doc_id) OVER (PARTITION BY t) AS first FROM texts),
+known AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+docs AS (SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+  (len(ws) < 100)::INT + 2 * (100 * len(list_distinct(ws)) < 80 * len(ws))::INT
+  + 4 * (100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 10 * length(t))::INT
+  + 8 * regexp_matches(t, '[#$%&*|]')::INT + 16 * coalesce(first < l.doc_id, false)::INT AS fails FROM lists l LEFT JOIN known USING (doc_id)),
+counts AS (SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS g, count(*) FILTER (toxic) AS x FROM docs GROUP BY part, fails),
+letters AS (SELECT chr(65 + i::INT) AS c, (1 << i::INT) AS bit FROM range(5) r(i)),
+orders AS (SELECT a.c || b.c || c.c || d.c || e.c AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+  FROM letters a, letters b, letters c, letters d, letters e WHERE a.bit + b.bit + c.bit + d.bit + e.bit = 31 AND len(list_distinct([a.c, b.c, c.c, d.c, e.c])) = 5),
+steps AS (SELECT filter_order, s::INT AS step, bits[s] AS bit, coalesce(list_sum(bits[1:s - 1]), 0)::INT AS before FROM orders, range(1, 6) r(s)),
+sums AS (SELECT part, filter_order, step, bit,
+  sum(CASE WHEN fails & (before | bit) = 0 THEN n ELSE 0 END) AS kept, sum(CASE WHEN fails & before = 0 AND fails & bit <> 0 THEN n ELSE 0 END) AS removed,
+  sum(CASE WHEN fails & before <> 0 AND fails & bit <> 0 THEN n ELSE 0 END) AS redundant, sum(CASE WHEN fails = bit THEN n ELSE 0 END) AS unique_fails,
+  sum(CASE WHEN fails & before = 0 AND fails & bit <> 0 THEN g ELSE 0 END) AS good_lost,
+  sum(CASE WHEN fails & before = 0 AND fails & bit <> 0 THEN x ELSE 0 END) AS toxic_lost FROM counts, steps GROUP BY ALL)
+SELECT part, filter_order, step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant, unique_fails::BIGINT AS unique_fails,
+  good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost, (sum(removed) OVER (PARTITION BY part, bit))::BIGINT AS shapley FROM sums"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_substring_dedup": OP1, "op3_quality_rules": OP3, "op4_minhash_dedup": OP4, "op6_line_dedup": OP6, "op7_embedding_dedup": OP7}
+    return {"op1_substring_dedup": OP1, "op3_quality_rules": OP3, "op4_minhash_dedup": OP4, "op6_line_dedup": OP6, "op7_embedding_dedup": OP7,
+            "op12_filter_audit": OP12}
