@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripcast.llm import chat, embeddings, langid, lines, minhash, packing, quality, sharding, substring, survival, unigram
+from tripcast.llm import alignment, chat, embeddings, langid, lines, minhash, packing, quality, sharding, substring, survival, unigram
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str, *columns: str) -> DataFrame:
@@ -106,11 +106,16 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.link_tool_calls(messages, TOOLS)
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents", "doc_id", "text")
+    return alignment.align(docs, vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
+
+
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return survival.audit(_read(spark, sf_dir, "documents", "doc_id", "text", "lang"), _read(spark, sf_dir, "labels", "doc_id", "quality", "toxic"))
 
 
 def queries() -> dict:
     own = (op1_substring_dedup, op2_packing, op3_quality_rules, op4_minhash_dedup, op5_sentencepiece, op6_line_dedup, op7_embedding_dedup,
-           op8_language_id, op9_sharding, op10_chat_formatting, op12_filter_audit)
+           op8_language_id, op9_sharding, op10_chat_formatting, op11_token_alignment, op12_filter_audit)
     return {f.__name__: f for f in own}
