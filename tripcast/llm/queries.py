@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripcast.llm import alignment, chat, embeddings, langid, lines, minhash, packing, quality, sharding, substring, survival, unigram
+from tripcast.llm import alignment, bytebpe, chat, embeddings, langid, lines, minhash, packing, quality, sharding, substring, survival, unigram
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str, *columns: str) -> DataFrame:
@@ -115,7 +115,14 @@ def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return survival.audit(_read(spark, sf_dir, "documents", "doc_id", "text", "lang"), _read(spark, sf_dir, "labels", "doc_id", "quality", "toxic"))
 
 
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = vocabulary("byte_bpe_50k.tiktoken")
+    out = bytebpe.decode(bytebpe.encode(_read(spark, sf_dir, "documents", "doc_id", "text"), ranks), ranks)
+    ids = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def queries() -> dict:
     own = (op1_substring_dedup, op2_packing, op3_quality_rules, op4_minhash_dedup, op5_sentencepiece, op6_line_dedup, op7_embedding_dedup,
-           op8_language_id, op9_sharding, op10_chat_formatting, op11_token_alignment, op12_filter_audit)
+           op8_language_id, op9_sharding, op10_chat_formatting, op11_token_alignment, op12_filter_audit, op13_byte_bpe)
     return {f.__name__: f for f in own}
