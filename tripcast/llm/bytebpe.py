@@ -33,7 +33,8 @@ from tripcast.llm.alignment import Vocabulary, _runs
 from tripcast.llm.packing import PATTERN
 from tripcast.llm.text import raw, slices
 
-SLICE = 16 << 20
+SLICE = 6 << 20
+AT_ONCE = 1 << 18  # runs of numbers that are put together at once
 LONG = 256  # bytes of a word from which on its merges are kept in a heap, as a fold's steps cost its length each
 ENTRIES = 1 << 20  # word places that a task holds before it sends them back
 MAP_BUCKETS = 1 << 16  # of the literal rank map; a lookup reads one of them
@@ -41,6 +42,16 @@ EDGE = "Ā"  # stands around a word, in no token
 SPACE = r"\p{White_Space}"
 
 
+def taken(values: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The runs of values from start on, one after the other, with memory for the result and a part of the places."""
+    ends = np.concatenate(([0], np.cumsum(size)))
+    out = np.empty(int(ends[-1]), values.dtype)
+    for lo in range(0, len(size), AT_ONCE):
+        hi = min(len(size), lo + AT_ONCE)
+        out[ends[lo]:ends[hi]] = values[_runs(start[lo:hi], size[lo:hi])]
+    return out
+
+
 def load_ranks(path: str) -> dict[bytes, int]:
     """Tokens and ranks of a tiktoken file."""
     with open(path, "rb") as file:
@@ -163,7 +174,7 @@ class Cutter:
         run = run[use | ~inner]
         ends = np.concatenate(([0], np.cumsum(size[run])))
         runs = np.concatenate(([0], np.cumsum(np.bincount(doc[use], minlength=n) + 1)))
-        codes = words.indices.to_numpy()[_runs((np.cumsum(size) - size)[run], size[run])]
+        codes = taken(words.indices.to_numpy(), (np.cumsum(size) - size)[run], size[run])
         return words.dictionary.cast(pa.large_binary()), codes, np.diff(ends[runs])
 
 
@@ -314,7 +325,7 @@ def encode(docs: DataFrame, ranks_file: str, pattern: str = PATTERN, id_col: str
         start, size = np.zeros(n, np.int64), np.zeros(n, np.int64)
         start[places], size[places] = np.cumsum(sizes) - sizes, sizes
         codes, counts = (R.unpack(rows[c][0].as_py(), np.uint32).astype(np.int64) for c in ("codes", "counts"))
-        flat = ids[_runs(start[codes], size[codes])].astype(np.int32)
+        flat = taken(ids.astype(np.int32), start[codes], size[codes])
         ends = np.concatenate(([0], np.cumsum(size[codes])))[np.concatenate(([0], np.cumsum(counts)))]
         return pa.table({"c0": rows["ids"].combine_chunks().flatten(), "ids": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))})
 
@@ -340,9 +351,8 @@ def decode(coded: DataFrame, ranks_file: str, ids_col: str = "ids", out_col: str
             numbers = ids.fill_null(-1).to_numpy().astype(np.int64)
             if len(numbers) and (numbers.min() < 0 or numbers.max() >= len(table.size) or not table.size[numbers].all()):
                 raise ValueError("an id that the vocabulary lacks")
-            sizes = np.concatenate(([0], np.cumsum(table.size[numbers])))
-            ends = sizes[np.concatenate(([0], np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy())))]
-            out = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(batch), [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(table.joined(numbers).tobytes())])
+            ends = np.concatenate(([0], np.cumsum(table.size[numbers])))[np.concatenate(([0], np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy())))]
+            out = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(batch), [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(taken(table.flat, table.start[numbers], table.size[numbers]))])
             out = pc.if_else(lists.is_valid(), out, pa.scalar(None, pa.large_binary()))
             yield pa.record_batch([*batch.columns, out.cast(pa.binary())], names=[*batch.schema.names, "decoded"])
 
