@@ -7,7 +7,7 @@ import tempfile
 from datetime import datetime
 
 from conftest import event, records
-from tripcast.operators import trips as T, validation as V
+from tripcast.operators import pairing, trips as T, validation as V
 from tripcast.sources.trips import date_slices
 
 
@@ -17,22 +17,22 @@ def plan_of(df):
 
 def test_date_slices_reach_the_scan(spark):
     path = os.path.join(tempfile.mkdtemp(prefix="tripcast-slices-"), "trips")
-    rows = [(datetime(2022, 1, d, 12), float(d)) for d in range(1, 31)]
+    rows = [(datetime(2021, 9, d, 12), float(d)) for d in range(1, 31)]
     spark.createDataFrame(rows, "pickup_datetime timestamp, trip_distance double").write.parquet(path)
-    sliced = date_slices(spark.read.parquet(path), [(1, "2022-01-01", "2022-01-07"), (2, "2022-01-08", "2022-01-14")])
+    sliced = date_slices(spark.read.parquet(path), [(40, "2021-09-05", "2021-09-15"), (41, "2021-09-20", "2021-09-22")])
     buf = io.StringIO()
     with contextlib.redirect_stdout(buf):
         sliced.explain("formatted")
     pushed = [line for line in buf.getvalue().splitlines() if line.startswith("PushedFilters")]
     assert pushed and "GreaterThanOrEqual(pickup_datetime" in pushed[0] and "LessThan(pickup_datetime" in pushed[0]
     got = {r.slice_no: 0 for r in sliced.collect()}
-    assert sliced.count() == 14 and set(got) == {1, 2}
+    assert sliced.count() == 14 and set(got) == {40, 41}
 
 
-def test_trip_join_is_one_aggregation_no_join(spark):
+def test_trip_ids_without_repeats_are_paired_by_one_aggregation(spark):
     p = V.pickups(V.parse_events(records(spark, [event("pickup")]), "pickup"))
     d = V.dropoffs(V.parse_events(records(spark, [event("dropoff")]), "dropoff"))
-    plan = plan_of(T.join_trips(p, d, close="all"))
-    for bad in ("SortMergeJoin", "BroadcastNestedLoopJoin", "CartesianProduct", "ShuffledHashJoin"):
+    plan = plan_of(T.trips_from_pairs(pairing.single_pairs(T.cogrouped(T.both_sides(p, d))), close="all"))
+    for bad in ("SortMergeJoin", "BroadcastNestedLoopJoin", "CartesianProduct", "ShuffledHashJoin", "Window"):
         assert bad not in plan
     assert "partial_max" in plan  # map-side reduction before the shuffle

@@ -91,7 +91,7 @@ def sum_columns() -> list[Column]:
     return [F.count(F.lit(1)).alias("trips"), *(p for name, c in SUMMED.items() for p in sum_parts(name, F.col(c)))]
 
 
-def _resum() -> list[Column]:
+def resum_columns() -> list[Column]:
     return [F.sum("trips").alias("trips"), *(p for name in SUMMED for p in resum_parts(name))]
 
 
@@ -131,7 +131,7 @@ def window_stats(trips: DataFrame, g: Grain, rules: Rules = DEFAULT_RULES,
             F.timestamp_micros(F.unix_micros("bucket") - F.col("k").cast("bigint") * F.lit(g.slide_seconds * 1_000_000))
             .alias("window_start"),
             "dimension", *PARTS)
-        stats = fanned.groupBy("window_start", "dimension").agg(*_resum()).select(
+        stats = fanned.groupBy("window_start", "dimension").agg(*resum_columns()).select(
             "window_start",
             F.timestamp_micros(F.unix_micros("window_start") + F.lit(g.size_seconds * 1_000_000)).alias("window_end"),
             "dimension", *PARTS)

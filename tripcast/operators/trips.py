@@ -1,11 +1,11 @@
 """Trip join in batch.
 
 The keyed full outer join of pickups and dropoffs is a co-group: both sides
-are unioned and grouped once by ``trip_id``. One shuffle serves both sides,
-the latest event per side wins (``max`` of a struct led by event time: the
-batch form of the reference's last-write-wins state), and partial
-aggregation before the shuffle keeps a hot trip_id from landing whole in
-one task. The join never needs a sort-merge of the two sides.
+are unioned and grouped once by ``trip_id``. One shuffle serves both sides, and
+partial aggregation before the shuffle keeps a hot trip_id from landing whole
+in one task. Trip ids with one event a side, nearly all, are paired by that
+alone; those with more are paired in event order (``pairing``). The join never needs a
+sort-merge of the two sides.
 
 Release rules (``close``):
 * ``"watermark"`` (default, parity with a finite replay): the final
@@ -24,6 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tripcast.config import DEFAULT_RULES, Rules
+from tripcast.operators import pairing
 
 _P = T.StructType([
     T.StructField("t", T.TimestampType()),
@@ -38,8 +39,8 @@ _D = T.StructType([
 ])
 
 
-def cogroup_sides(pickup_events: DataFrame, dropoff_events: DataFrame) -> DataFrame:
-    """trip_id, p (latest pickup), d (latest dropoff), pickup_events, dropoff_events."""
+def both_sides(pickup_events: DataFrame, dropoff_events: DataFrame) -> DataFrame:
+    """trip_id, p, d: the events of both sides in one shape, the other side null."""
     p = pickup_events.select(
         "trip_id",
         F.struct(F.col("event_time").alias("t"), "pickup_zone", "passenger_count").cast(_P).alias("p"),
@@ -50,15 +51,26 @@ def cogroup_sides(pickup_events: DataFrame, dropoff_events: DataFrame) -> DataFr
         F.lit(None).cast(_P).alias("p"),
         F.struct(F.col("event_time").alias("t"), "dropoff_zone", "trip_distance", "total_amount").cast(_D).alias("d"),
     )
-    return p.unionByName(d).groupBy("trip_id").agg(
+    return p.unionByName(d)
+
+
+def cogrouped(sides: DataFrame) -> DataFrame:
+    """trip_id, p (latest pickup), d (latest dropoff), pickup_events, dropoff_events."""
+    return sides.groupBy("trip_id").agg(
         F.max("p").alias("p"), F.max("d").alias("d"),
         F.count("p").alias("pickup_events"), F.count("d").alias("dropoff_events"),
     )
 
 
-def final_watermark(cogrouped: DataFrame, rules: Rules = DEFAULT_RULES) -> Column:
+def pair_sides(pickup_events: DataFrame, dropoff_events: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
+    """trip_id, p, d, replaced_at: the events of both sides, paired (J1, J1.5)."""
+    sides = both_sides(pickup_events, dropoff_events)
+    return pairing.pairs(cogrouped(sides), sides, rules)
+
+
+def final_watermark(pairs: DataFrame, rules: Rules = DEFAULT_RULES) -> Column:
     """Scalar: least(max pickup time, max dropoff time) - out-of-orderness."""
-    return cogrouped.agg(
+    return pairs.agg(
         F.least(F.max("p.t"), F.max("d.t")) - F.make_dt_interval(secs=F.lit(rules.out_of_orderness_seconds))
     ).scalar()
 
@@ -71,9 +83,9 @@ def duration_reason(duration: Column, rules: Rules = DEFAULT_RULES) -> Column:
     )
 
 
-def trips_from_cogroup(g: DataFrame, rules: Rules = DEFAULT_RULES, close: str = "watermark",
+def trips_from_pairs(g: DataFrame, rules: Rules = DEFAULT_RULES, close: str = "watermark",
                        bound: Column | None = None) -> DataFrame:
-    """Trip rows (matched trips and released orphans) from co-grouped sides."""
+    """Trip rows (matched trips and released orphans) from pairs."""
     if close not in ("watermark", "all"):
         raise ValueError("close must be 'watermark' or 'all'")
     pt, dt_ = F.col("p.t"), F.col("d.t")
@@ -115,7 +127,7 @@ def trips_from_cogroup(g: DataFrame, rules: Rules = DEFAULT_RULES, close: str =
         F.lit("missing_pickup").alias("invalid_reason"), (dt_ + timeout).alias("event_time"),
     )
     # release flags first: a scalar subquery may not sit inside the higher-order filter
-    flagged = g.select("*", released(pt).alias("_rel_p"), released(dt_).alias("_rel_d"))
+    flagged = g.where("replaced_at is null").select("*", released(pt).alias("_rel_p"), released(dt_).alias("_rel_d"))
     rows = F.array(
         F.when(matched, trip),
         F.when(pt.isNotNull() & ~matched & F.col("_rel_p"), no_dropoff),
@@ -127,7 +139,7 @@ def trips_from_cogroup(g: DataFrame, rules: Rules = DEFAULT_RULES, close: str =
 def join_trips(pickup_events: DataFrame, dropoff_events: DataFrame, rules: Rules = DEFAULT_RULES,
                close: str = "watermark") -> DataFrame:
     """Pickups ⟗ dropoffs on trip_id -> trips with duration rule and orphans."""
-    return trips_from_cogroup(cogroup_sides(pickup_events, dropoff_events), rules, close)
+    return trips_from_pairs(pair_sides(pickup_events, dropoff_events, rules), rules, close)
 
 
 def valid_trips(trips: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tripcast.config import DEFAULT_RULES, Rules, materialize as _materialize
-from tripcast.operators import enrich, gauge, metrics, trips as trip_ops, validation as V
+from tripcast.operators import enrich, gauge, metrics, pairing, trips as trip_ops, validation as V
 from tripcast.sources import fixtures
 
 
@@ -24,7 +24,7 @@ class TripTables:
     parsed_dropoffs: DataFrame
     pickups: DataFrame
     dropoffs: DataFrame
-    cogrouped: DataFrame
+    pairs: DataFrame
     bound: Column | None
     trips: DataFrame
     enriched: DataFrame
@@ -58,7 +58,7 @@ class TripTables:
                                     bound=self.bound)
 
     def open_trips(self) -> DataFrame:
-        return gauge.open_trips(self.cogrouped, self.rules, self.bound if self.close == "watermark" else None)
+        return gauge.open_trips(self.pairs, self.rules, self.bound if self.close == "watermark" else None)
 
     def aggregates(self) -> DataFrame:
         """Every metric row, windowed metrics and the gauge."""
@@ -71,14 +71,21 @@ def build(pickup_records: DataFrame, dropoff_records: DataFrame, zones: DataFram
     pp = V.parse_events(pickup_records, "pickup", rules.pickup_topic, rules)
     pd_ = V.parse_events(dropoff_records, "dropoff", rules.dropoff_topic, rules)
     pk, dk = V.pickups(pp), V.dropoffs(pd_)
-    g = trip_ops.cogroup_sides(pk, dk)
+    sides = trip_ops.both_sides(pk, dk)
+    g = trip_ops.cogrouped(sides)
     if materialize:
         g = _materialize(g)
-    bound = trip_ops.final_watermark(g, rules) if close == "watermark" else None
-    trips = trip_ops.trips_from_cogroup(g, rules, close, bound)
+        pairs = pairing.single_pairs(g)
+        # a second read of the topics only if a trip id has more than one event on a side
+        if not g.where(pairing.repeats(g)).isEmpty():
+            pairs = pairs.unionByName(_materialize(pairing.repeated_pairs(g, sides, rules)))
+    else:
+        pairs = pairing.pairs(g, sides, rules)
+    bound = trip_ops.final_watermark(pairs, rules) if close == "watermark" else None
+    trips = trip_ops.trips_from_pairs(pairs, rules, close, bound)
     valid = trip_ops.valid_trips(trips)
     enriched = enrich.enrich_trips(valid, zones, rules)
-    return TripTables(pp, pd_, pk, dk, g, bound, trips, enriched, close, rules)
+    return TripTables(pp, pd_, pk, dk, pairs, bound, trips, enriched, close, rules)
 
 
 def build_from_fixture(spark: SparkSession, sf_dir: str, rules: Rules = DEFAULT_RULES,

@@ -169,13 +169,12 @@ metrics{s} AS (
   UNION ALL {rows('st_hour', 'trips_last_h', count)}),
 gp{s} AS (SELECT vp{s}.trip_id, p_t, d_t FROM vp{s} LEFT JOIN vd{s} ON vp{s}.trip_id = vd{s}.trip_id),
 glim{s} AS (SELECT {_ceil_minute(f'(SELECT min(p_t) FROM gp{s})')} AS first_t,
-  {"(SELECT max(least(date_trunc('minute', p_t + INTERVAL 3 HOUR) + INTERVAL 1 MINUTE, " + _ceil_minute('d_t') + ")) FROM gp" + s + ") - INTERVAL 1 MINUTE" if close == "all" else f"date_trunc('minute', (SELECT b FROM bnd{s}) - INTERVAL 1 MICROSECOND)"} AS last_t),
+  {"(SELECT max(date_trunc('minute', p_t + INTERVAL 3 HOUR)) FROM gp" + s + ")" if close == "all" else f"date_trunc('minute', (SELECT b FROM bnd{s}) - INTERVAL 1 MICROSECOND)"} AS last_t),
 ticks{s} AS (SELECT generate_series AS t FROM glim{s}, generate_series(glim{s}.first_t, glim{s}.last_t, INTERVAL 1 MINUTE)),
 gauge{s} AS (
   SELECT 'open_trips' AS metric_name, t - INTERVAL 3 HOUR AS window_start, t AS window_end, 'all' AS dimension,
-         CAST(count(gp{s}.trip_id) AS DOUBLE) AS value
-  FROM ticks{s} LEFT JOIN gp{s} ON gp{s}.p_t <= ticks{s}.t AND gp{s}.p_t >= ticks{s}.t - INTERVAL 3 HOUR
-                                 AND (gp{s}.d_t IS NULL OR gp{s}.d_t > ticks{s}.t)
+         CAST(count(*) FILTER (d_t IS NULL OR d_t > t OR d_t < p_t - INTERVAL 3 HOUR) AS DOUBLE) AS value
+  FROM ticks{s} JOIN gp{s} ON gp{s}.p_t <= ticks{s}.t AND gp{s}.p_t >= ticks{s}.t - INTERVAL 3 HOUR
   GROUP BY t),
 aggregates{s} AS (SELECT * FROM metrics{s} UNION ALL SELECT * FROM gauge{s})"""
 
@@ -291,6 +290,31 @@ FROM (SELECT *, concat_ws('#', {_LINEITEM_TEXT}) AS row FROM lineitem)""",
   UNION ALL SELECT 'dropoff', trip_id, d_t FROM vd"""),
         "j1_trips": with_trips(f"SELECT {TRIP_COLS} FROM trips"),
         "j1_trips_all_released": with_trips(f"SELECT {TRIP_COLS} FROM trips", close="all"),
+        "j1_repeated_events": f"""WITH RECURSIVE {trip_ctes("all")},
+ev AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY id ORDER BY t, side, zone, pc, dist, amt) AS i FROM (
+  SELECT CAST(event_id // 4 AS VARCHAR) AS id, 0 AS side, pickup_ts AS t, pickup_zone AS zone, CAST(passenger_count AS DOUBLE) AS pc,
+         CAST(NULL AS DOUBLE) AS dist, CAST(NULL AS DOUBLE) AS amt FROM a WHERE has_pickup
+  UNION ALL SELECT CAST(event_id // 4 AS VARCHAR), 1, dropoff_ts, dropoff_zone, NULL, trip_distance, total_amount FROM a WHERE has_dropoff)),
+walk(id, i, held, kind, x, y) AS (
+  SELECT id, i, i, '', i, i FROM ev WHERE i = 1
+  UNION ALL
+  SELECT e.id, e.i, CASE WHEN h.i IS NOT NULL AND h.side <> e.side AND e.t <= h.t + INTERVAL 48 HOUR THEN NULL ELSE e.i END,
+         CASE WHEN h.i IS NULL THEN '' WHEN e.t > h.t + INTERVAL 48 HOUR THEN 'alone' WHEN h.side <> e.side THEN 'both' ELSE '' END, h.i, e.i
+  FROM walk w JOIN ev e ON e.id = w.id AND e.i = w.i + 1 LEFT JOIN ev h ON h.id = w.id AND h.i = w.held),
+ends AS (SELECT id, kind, x, y FROM walk WHERE kind <> ''
+  UNION ALL SELECT id, 'alone', held, held FROM walk w WHERE held IS NOT NULL AND i = (SELECT max(i) FROM ev WHERE ev.id = w.id)),
+found AS (
+  SELECT n.id, n.kind, CASE WHEN f.side = 0 THEN f.t WHEN kind = 'both' THEN g.t END AS p_t, CASE WHEN f.side = 1 THEN f.t WHEN kind = 'both' THEN g.t END AS d_t,
+         CASE WHEN f.side = 0 THEN f.zone WHEN kind = 'both' THEN g.zone END AS p_zone, CASE WHEN f.side = 1 THEN f.zone WHEN kind = 'both' THEN g.zone END AS d_zone,
+         CASE WHEN kind = 'both' THEN coalesce(f.pc, g.pc) ELSE f.pc END AS pc, CASE WHEN kind = 'both' THEN coalesce(f.dist, g.dist) ELSE f.dist END AS dist,
+         CASE WHEN kind = 'both' THEN coalesce(f.amt, g.amt) ELSE f.amt END AS amt
+  FROM ends n JOIN ev f ON f.id = n.id AND f.i = n.x JOIN ev g ON g.id = n.id AND g.i = n.y),
+whole AS (SELECT *, CASE WHEN kind = 'both' THEN CAST(epoch_us(d_t) - epoch_us(p_t) AS DOUBLE) / 1000000.0 END AS secs FROM found),
+judged AS (SELECT *, CASE WHEN kind = 'alone' AND d_t IS NULL THEN 'missing_dropoff' WHEN kind = 'alone' THEN 'missing_pickup'
+  WHEN secs <= 0 THEN 'non_positive_duration' WHEN secs > {R.max_duration_seconds} THEN 'duration_over_3h' END AS why FROM whole)
+SELECT id AS trip_id, p_zone AS pickup_zone, d_zone AS dropoff_zone, p_t AS pickup_datetime, d_t AS dropoff_datetime, secs AS duration_seconds,
+  dist AS trip_distance, pc AS passenger_count, amt AS total_amount, why IS NULL AS is_valid, why AS invalid_reason,
+  CASE WHEN kind = 'both' THEN d_t ELSE coalesce(p_t, d_t) + INTERVAL 48 HOUR END AS event_time FROM judged""",
         "j2_orphans": with_trips(f"SELECT {TRIP_COLS} FROM trips WHERE invalid_reason IN ('missing_dropoff', 'missing_pickup')"),
         "j3_duration_rule": with_trips("""SELECT trip_id, duration_seconds, invalid_reason IS NULL AS is_valid, invalid_reason
   FROM trips WHERE duration_seconds IS NOT NULL"""),

@@ -179,6 +179,17 @@ def j1_trips_all_released(spark, sf):
     return _trip_out(_tables(spark, sf, close="all").trips)
 
 
+def j1_repeated_events(spark, sf):
+    """Four source events share a trip id, so that their pickups and dropoffs repeat and interleave (J1.5)."""
+    trips = fixtures.trip_fixture(fixtures.load_table(spark, sf, "events")).withColumn(
+        "trip_id", F.floor(F.col("event_id") / 4).cast("string"))
+    pickups = trips.where("has_pickup").select(
+        "trip_id", F.col("pickup_datetime").alias("event_time"), "pickup_zone", F.col("passenger_count").cast("double").alias("passenger_count"))
+    dropoffs = trips.where("has_dropoff").select(
+        "trip_id", F.col("dropoff_datetime").alias("event_time"), "dropoff_zone", "trip_distance", "total_amount")
+    return _trip_out(T_.join_trips(pickups, dropoffs, R, close="all"))
+
+
 def j2_orphans(spark, sf):
     return _trip_out(T_.orphans(_tables(spark, sf).trips))
 
@@ -328,6 +339,7 @@ def queries() -> dict[str, Query]:
         "t13_lifecycle": t13_lifecycle,
         "j1_trips": j1_trips,
         "j1_trips_all_released": j1_trips_all_released,
+        "j1_repeated_events": j1_repeated_events,
         "j2_orphans": j2_orphans,
         "j3_duration_rule": j3_duration_rule,
         "v10_valid_trips": v10_valid_trips,

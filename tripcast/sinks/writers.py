@@ -120,17 +120,21 @@ def append_new(df: DataFrame, path: str, keys: Sequence[str], order: Sequence[st
 def write_epoch(df: DataFrame, path: str, epoch_id: int) -> bool:
     """Write one micro-batch to ``path/epoch=<id>`` unless that epoch was committed already.
 
-    A replayed epoch carries the same rows, so a committed folder (job commit
-    marker present) means there is nothing to do; a folder left by a failed
-    attempt is overwritten. Cost is proportional to the batch, not the table.
+    The rows are written to a hidden folder, which readers skip, and moved into place as
+    a whole: a reader sees all of an epoch or nothing, and a replayed epoch, which carries
+    the same rows, finds its folder and adds nothing. The move is one rename, atomic on
+    file systems such as HDFS. Cost is proportional to the batch, not the table.
     """
-    target = os.path.join(path, f"epoch={epoch_id}")
-    jvm = df.sparkSession._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(os.path.join(target, "_SUCCESS"))
-    fs = hpath.getFileSystem(df.sparkSession._jsc.hadoopConfiguration())
-    if fs.exists(hpath):
+    spark = df.sparkSession
+    jpath = spark._jvm.org.apache.hadoop.fs.Path
+    target = jpath(os.path.join(path, f"epoch={epoch_id}"))
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(target):
         return False
-    df.write.mode("overwrite").parquet(target)
+    stage = os.path.join(path, "_staging", f"{epoch_id}-{uuid.uuid4().hex}")
+    df.write.parquet(stage)
+    if not fs.rename(jpath(stage), target):
+        raise OSError(f"epoch {epoch_id} of {path} could not be moved into place")
     return True
 
 

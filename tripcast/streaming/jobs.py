@@ -2,13 +2,15 @@
 
 Query A reads both topics, validates (same projection as batch), puts a
 30 s watermark on each valid stream after validation (rejected messages
-never move event time), unions them and runs the stateful trip join. Its
-``foreachBatch`` writes the trips table (one committed folder per epoch);
-rejected_events are de-duplicated on topic + md5 of the payload by the
-state store and written one folder per epoch. ``start_invalid_query``
-keeps the first invalid row per trip id (state store) for invalid_trips. Metric queries read the trips table as a stream,
-put their own watermark on the trip event time and aggregate each grain
-in append mode; their ``foreachBatch`` upserts into the aggregates table.
+never move event time), unions them and runs the stateful trip join. Trips
+go to a file sink, whose commit log every reader of the table obeys, batch or
+stream: files that a failed attempt left behind are no rows (T15). rejected_events
+are de-duplicated on topic + md5 of the payload by the state store;
+``start_invalid_query`` keeps the first invalid row per trip id (state store) for
+invalid_trips; both write one folder per epoch, moved into place when it is whole.
+Metric queries read the trips table as a stream, put their own watermark on the trip
+event time and aggregate each grain in append mode; their ``foreachBatch`` upserts into
+the aggregates table.
 
 Every query has its own checkpoint folder under the shared checkpoint
 location; replays after a failure rewrite nothing twice because every sink
@@ -27,7 +29,7 @@ from tripcast.operators import enrich, metrics as M, validation as V
 from tripcast.schemas import TRIPS
 from tripcast.sinks import writers
 from tripcast.sources.events import TopicSource, read_topic_stream
-from tripcast.streaming.gauge import gauge_sink
+from tripcast.streaming.gauge import bucket_ticks, gauge_sink
 from tripcast.streaming.join_processor import FirstInvalidProcessor, TripJoinProcessor
 
 
@@ -67,19 +69,15 @@ def stream_metric_rows(trips: DataFrame, grain: M.Grain, zones: DataFrame,
 
 
 def _sliding_stats(trips: DataFrame, grain: M.Grain, rules: Rules) -> DataFrame:
-    # streaming aggregation allows one aggregation per query: use Spark's sliding window
-    w = F.window("event_time", f"{grain.size_seconds} seconds", f"{grain.slide_seconds} seconds")
-    sums = trips.groupBy(w.alias("w"), F.lit(grain.constant).alias("dimension")).agg(
-        *M.sum_columns()
-    ).select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "dimension", *M.PARTS)
-    return M.finished(sums)
+    """Two chained aggregations: one state row per slide and dimension, then its windows from those rows.
 
-
-def _trip_sinks(out_dir: str):
-    def write(batch: DataFrame, epoch_id: int) -> None:
-        # one folder per epoch: a replayed batch finds its committed folder and adds nothing
-        writers.write_epoch(batch.select(*TRIPS.fieldNames()), os.path.join(out_dir, "trips"), epoch_id)
-    return write
+    A trip updates one row, not one for each of the windows that hold it.
+    """
+    slide = f"{grain.slide_seconds} seconds"
+    slides = trips.groupBy(F.window("event_time", slide).alias("s"), F.lit(grain.constant).alias("dimension")).agg(*M.sum_columns())
+    w = F.window(F.window_time("s"), f"{grain.size_seconds} seconds", slide)
+    sums = slides.groupBy(w.alias("w"), "dimension").agg(*M.resum_columns())
+    return M.finished(sums.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "dimension", *M.PARTS))
 
 
 def _epoch_sink(path: str):
@@ -88,13 +86,6 @@ def _epoch_sink(path: str):
     return write
 
 
-def _rejected_sink(out_dir: str):
-    def write(batch: DataFrame, epoch_id: int) -> None:
-        # rows arrive de-duplicated by the query's state store; a replayed epoch is skipped
-        writers.write_epoch(batch, os.path.join(out_dir, "rejected_events"), epoch_id)
-    return write
-
-
 def _aggregate_sink(out_dir: str):
     def write(batch: DataFrame, epoch_id: int) -> None:
         writers.upsert_partitions(batch, os.path.join(out_dir, "aggregates"))
@@ -118,12 +109,12 @@ def start_trip_query(spark: SparkSession, pickup_src: TopicSource, dropoff_src:
     pp = V.parse_events(read_topic_stream(spark, pickup_src), "pickup", pickup_src.topic, rules)
     dp = V.parse_events(read_topic_stream(spark, dropoff_src), "dropoff", dropoff_src.topic, rules)
     trips = stream_trips(V.pickups(pp), V.dropoffs(dp), rules)
-    q_trips = (trips.writeStream.foreachBatch(_trip_sinks(out_dir))
+    q_trips = (trips.writeStream.format("parquet").option("path", os.path.join(out_dir, "trips")).outputMode("append")
                .option("checkpointLocation", os.path.join(root, "trips")).trigger(**trigger).start())
     # insert-ignore on (topic, md5(payload)): equal keys carry equal rows, so the streaming
     # de-duplication (keys in the state store) keeps exactly what the table key would keep
     rejected = writers.with_payload_key(V.all_rejected(pp, dp)).dropDuplicates(["topic", "payload_md5"])
-    q_rej = (rejected.writeStream.foreachBatch(_rejected_sink(out_dir))
+    q_rej = (rejected.writeStream.foreachBatch(_epoch_sink(os.path.join(out_dir, "rejected_events")))
              .option("checkpointLocation", os.path.join(root, "rejected")).trigger(**trigger).start())
     return [q_trips, q_rej]
 
@@ -143,13 +134,13 @@ def start_invalid_query(spark: SparkSession, out_dir: str, rules: Rules = DEFAUL
 def start_gauge_query(spark: SparkSession, pickup_src: TopicSource, dropoff_src: TopicSource, out_dir: str,
                       rules: Rules = DEFAULT_RULES, trigger: dict | None = None,
                       checkpoint_root: str | None = None) -> StreamingQuery:
-    """Lifecycle signals (T13) -> open-trips gauge ticks upserted into aggregates (G1)."""
+    """Lifecycle signals (T13) -> open-trips gauge ticks upserted into aggregates."""
     root = checkpoint_root or os.path.join(checkpoint_dir(spark), "streams")
     trigger = trigger or {"processingTime": "60 seconds"}
     pp = V.parse_events(read_topic_stream(spark, pickup_src), "pickup", pickup_src.topic, rules)
     dp = V.parse_events(read_topic_stream(spark, dropoff_src), "dropoff", dropoff_src.topic, rules)
-    signals = V.lifecycle(V.pickups(pp), V.dropoffs(dp))
-    return (signals.writeStream.foreachBatch(gauge_sink(out_dir, rules))
+    signals = V.lifecycle(watermarked(V.pickups(pp), rules), watermarked(V.dropoffs(dp), rules))
+    return (bucket_ticks(signals, rules).writeStream.foreachBatch(gauge_sink(out_dir, rules))
             .option("checkpointLocation", os.path.join(root, "gauge")).trigger(**trigger).start())
 
 

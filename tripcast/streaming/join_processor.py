@@ -9,14 +9,16 @@ Per trip_id the state holds at most one pickup and one dropoff:
   are matched immediately; the trip's event time is the dropoff's);
 * a held counterpart more than 48 h away is not matched: it times out on
   its own, as in batch (J1.6), whatever the micro-batch boundaries;
-* otherwise the event is held (a newer event of the same side replaces
-  it, with its timer) and an event-time timer at event time + 48 h is
-  registered;
+* otherwise the event is held (a newer event of the same side within 48 h replaces
+  it, with its timer; one that comes later releases it) and an event-time timer at
+  event time + 48 h is registered;
 * when a timer fires, the held event it belongs to is released as an
   orphan: ``missing_dropoff`` for a pickup, ``missing_pickup`` for a dropoff.
 
-This is the only per-row Python of the job; everything around it is
-built-in Spark expressions.
+Events that arrive in event-time order are paired by the rule of batch
+(``operators.pairing``), repeated ones too; those of one micro-batch are put in that order
+first. Repeated events that arrive out of order in different micro-batches meet in
+the order of their arrival.
 """
 
 from __future__ import annotations
@@ -50,6 +52,10 @@ def _utc(t: datetime | None) -> datetime | None:
     return None if t is None else t.astimezone(timezone.utc)
 
 
+def micros(t: datetime) -> int:
+    return (_utc(t) - _EPOCH) // timedelta(microseconds=1)
+
+
 def _ms(t: datetime) -> int:
     return (_utc(t) - _EPOCH) // timedelta(milliseconds=1)
 
@@ -58,6 +64,11 @@ def _from_ms(ms: int) -> datetime:
     return _EPOCH + timedelta(milliseconds=ms)
 
 
+def _order(r: Row) -> tuple:
+    """Event order, ties as in batch: pickups first, then by content."""
+    return (r.event_time, r.side != "pickup", *(x if x is not None else 0 for x in (r.zone, r.passenger_count, r.trip_distance, r.total_amount)))
+
+
 class TripJoinProcessor(StatefulProcessor):
     def __init__(self, rules: Rules = DEFAULT_RULES):
         self.rules = rules
@@ -106,7 +117,7 @@ class TripJoinProcessor(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         trip_id = key[0]
         limit = timedelta(seconds=self.rules.timeout_seconds)
-        for r in sorted(rows, key=lambda r: (r.event_time, r.side)):
+        for r in sorted(rows, key=_order):
             t = _utc(r.event_time)
             if r.side == "pickup":
                 side, mine, other = "pickup", self.pickup, self.dropoff
@@ -123,8 +134,11 @@ class TripJoinProcessor(StatefulProcessor):
                     self.handle.deleteTimer(self._timeout(ht))
                     continue
                 # farther than 48 h: no match; each side times out on its own timer (J1.6)
-            if mine.exists():  # a newer event of the same side replaces the held one
-                self.handle.deleteTimer(self._timeout(_utc(tuple(mine.get())[0])))
+            if mine.exists():
+                held = tuple(mine.get())
+                self.handle.deleteTimer(self._timeout(held[0]))
+                if t - _utc(held[0]) > limit:  # its time was over before this one came
+                    yield self._release(trip_id, side, held)
             mine.update(ev)
             self.handle.registerTimer(self._timeout(t))
 
