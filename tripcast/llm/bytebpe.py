@@ -18,7 +18,6 @@ import hashlib
 import heapq
 import json
 import zlib
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +29,6 @@ from pyspark.sql import functions as F
 
 from tripcast.llm import rounds as R
 from tripcast.llm.alignment import Vocabulary, _runs
-from tripcast.llm.packing import PATTERN
 from tripcast.llm.text import raw, slices
 
 SLICE = 6 << 20
@@ -39,7 +37,6 @@ LONG = 256  # bytes of a word from which on its merges are kept in a heap, as a
 ENTRIES = 1 << 20  # word places that a task holds before it sends them back
 MAP_BUCKETS = 1 << 16  # of the literal rank map; a lookup reads one of them
 EDGE = "Ā"  # stands around a word, in no token
-SPACE = r"\p{White_Space}"
 
 
 def taken(values: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -132,65 +129,85 @@ def merged_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[word[i:end[i]]] for i in range(n) if alive[i]]
 
 
+OTHER, LETTER, NUMBER, WHITE = range(4)
+
+
+def _classes() -> np.ndarray:
+    """Class of each code point, as the pattern has them."""
+    import regex
+
+    every = "".join(chr(i) for i in range(0x110000) if not 0xD800 <= i < 0xE000)
+    out = np.full(0x110000, OTHER, np.uint8)
+    # \s of the library that the pattern is from is the property, without the separators U+001C to U+001F
+    for kind, name in ((LETTER, "L"), (NUMBER, "N"), (WHITE, "White_Space")):
+        found = regex.findall(rf"\p{{{name}}}", every)
+        out[np.frombuffer("".join(found).encode("utf-32-le"), np.uint32)] = kind
+    return out
+
+
 class Cutter:
-    """Pre-tokens of texts. A space between two other characters that are no white space starts one, so that
-    texts are cut there and each distinct part is matched once; texts with other such spaces are matched whole."""
+    """Words of texts, the pre-tokens of ``packing.PATTERN``, found for a whole slice at once.
 
-    def __init__(self, pattern: str):
-        import regex
+    A word starts where the class of characters changes, and a space goes with what follows.
+    Of more white space the last character stands alone (or goes with what follows). An
+    apostrophe that starts a word takes the ends of contractions with it.
+    """
 
-        # \s of the library that the pattern is from is the property, without the separators U+001C to U+001F
-        self.find = regex.compile(pattern.replace(r"\s", SPACE).replace(r"\S", r"\P{White_Space}")).findall
-        self.parted = pattern == PATTERN
+    def __init__(self):
+        self.classes = _classes()
+
+    def starts(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Byte positions of all words in the texts of these bytes."""
+        first = np.flatnonzero((data & 0xC0) != 0x80)  # byte position of each character
+        chars = np.frombuffer(data.tobytes().decode().encode("utf-32-le"), np.uint32)
+        n = len(chars)
+        kind = np.empty(n + 3, np.uint8)
+        kind[:n], kind[n:] = self.classes[chars], OTHER
+        opens = np.zeros(n + 3, bool)  # a text, or the end
+        opens[np.searchsorted(first, offsets)] = True
+        opens[n:] = True
+        change = opens.copy()
+        change[1:] |= kind[1:] != kind[:-1]
+        space = np.zeros(n + 3, bool)
+        space[:n] = chars == 0x20
+        out = change.copy()
+        out[1:] &= opens[1:] | ~space[:-1] | (kind[1:] == WHITE)  # a space goes with what follows
+        # the last of several white spaces, unless the text ends with it
+        last = np.zeros(n + 3, bool)
+        last[:-1] = (kind[:-1] == WHITE) & ~change[:-1] & change[1:] & ~opens[1:]
+        out |= last
+        at = np.flatnonzero((chars == 0x27) & out[:n])
+        if len(at):
+            ahead = [np.append(chars, [0, 0, 0])[at + k] for k in (1, 2)]
+            one = ~opens[at + 1] & np.isin(ahead[0], [ord(c) for c in "stmd"])
+            two = ~opens[at + 1] & ~opens[at + 2] & np.logical_or.reduce([(ahead[0] == ord(x)) & (ahead[1] == ord(y)) for x, y in ("re", "ve", "ll")])
+            out[at[one | two] + 1] = False
+            out[at[one] + 2] = True
+            out[at[two] + 3] = True
+        return first[out[:n]]
 
     def batch(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
-        """Distinct words (binary), and of all texts the words as numbers in order, and how many each text has."""
-        n = len(texts)
-        lists = pc.split_pattern(texts, " ")
-        coded = lists.flatten().dictionary_encode()
-        parts, code = coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64)
-        bounds = np.asarray(lists.offsets).astype(np.int64)
-        first, count = bounds[:-1] - bounds[0], np.diff(bounds)
-        doc = np.repeat(np.arange(n), count)
-        opens = np.array([p != "" and not p[0].isspace() for p in parts], bool)
-        closes = np.array([p != "" and not p[-1].isspace() for p in parts], bool)
-        inner = np.ones(len(code), bool)
-        inner[first] = False
-        sure = np.zeros(len(code), bool)
-        sure[1:] = inner[1:] & opens[code[1:]] & closes[code[:-1]]
-        whole = np.full(n, not self.parted)
-        whole[doc[inner & ~sure]] = True
-        use = inner & ~whole[doc]
-        used = np.unique(code[use])
-        heads = [t.as_py() if w else parts[code[f]] for t, w, f in zip(texts, whole, first.tolist(), strict=True)]
-        found = [self.find(x) for x in chain((" " + parts[i] for i in used.tolist()), heads)]
-        size = np.fromiter(map(len, found), np.int64, len(found))
-        words = pa.array(chain.from_iterable(found), pa.string()).dictionary_encode()
-        # runs of words: a text's head, then its parts
-        of = np.zeros(len(parts), np.int64)
-        of[used] = np.arange(len(used))
-        run = np.where(use, of[code], 0)
-        run[first] = len(used) + np.arange(n)
-        run = run[use | ~inner]
-        ends = np.concatenate(([0], np.cumsum(size[run])))
-        runs = np.concatenate(([0], np.cumsum(np.bincount(doc[use], minlength=n) + 1)))
-        codes = taken(words.indices.to_numpy(), (np.cumsum(size) - size)[run], size[run])
-        return words.dictionary.cast(pa.large_binary()), codes, np.diff(ends[runs])
+        """Distinct words (binary) of LargeBinary texts, all their words as numbers in order, and how many each text has."""
+        data, offsets = raw(texts)
+        at = np.append(self.starts(data, offsets), len(data)) if len(data) else np.zeros(1, np.int64)
+        words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(at) - 1, [None, pa.py_buffer(at.astype(np.int64)), pa.py_buffer(data)])
+        coded = words.dictionary_encode()
+        return coded.dictionary, coded.indices.to_numpy(), np.diff(np.searchsorted(at, offsets))
 
 
 def _squeezed(data: bytes | np.ndarray) -> bytes:
     return zstandard.ZstdCompressor(level=1).compress(data if isinstance(data, bytes) else data.tobytes())
 
 
-def _sliced(df: DataFrame, pattern: str, give):
+def _sliced(give):
     """Column-wise rows that give(slice number, ids, words, codes, counts) makes of each slice of texts."""
 
     def one(batches):
         cutter, number = None, 0
         for batch in batches:
             for part, texts in slices(pa.Table.from_batches([batch]), "c1", SLICE):
-                cutter = cutter or Cutter(pattern)
-                words, codes, counts = cutter.batch(texts.cast(pa.large_string()))
+                cutter = cutter or Cutter()
+                words, codes, counts = cutter.batch(texts)
                 data, offsets = raw(words)
                 about = f"{TaskContext.get().partitionId()} {number} ".encode() + offsets.tobytes() + data.tobytes()
                 # by content too: a slice whose words meet other texts than those they came from finds no answer
@@ -293,11 +310,11 @@ def _returned(batches):
         yield flush()
 
 
-def encode(docs: DataFrame, ranks_file: str, pattern: str = PATTERN, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encode(docs: DataFrame, ranks_file: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Ids of whole texts: the id column (under its name) and ``ids`` (array of int).
 
-    ranks_file: a tiktoken file that every executor can read; pattern: its pre-tokens.
-    Special tokens have no meaning in a text. A null or empty text has no ids. Rows that
+    ranks_file: a tiktoken file that every executor can read, with the pre-tokens of
+    ``packing.PATTERN``. Special tokens have no meaning in a text. A null or empty text has no ids. Rows that
     share an id, and rows without one, are encoded each on its own; other columns are
     left out. Raises if texts come in another order when they are read a second time.
     """
@@ -307,12 +324,12 @@ def encode(docs: DataFrame, ranks_file: str, pattern: str = PATTERN, id_col: str
     df = docs.select(F.col(id_col).alias("c0"), F.col(text_col).alias("c1"))
     kind = df.schema["c0"].dataType.simpleString()
     buckets = max(16, R.group_count(df, "c1") // 4)
-    listed = df.mapInArrow(_sliced(df, pattern, _listed(buckets)), "bucket int, slice long, places binary, sizes binary, words binary")
+    listed = df.mapInArrow(_sliced(_listed(buckets)), "bucket int, slice long, places binary, sizes binary, words binary")
     words = listed.groupBy("bucket").applyInArrow(_distinct(ranks_file), "word binary, given array<int>, slices binary, places binary")
     word = F.decode("word", "ISO-8859-1")
     ids = F.get(F.transform(F.array(rank_map(ranks)), lambda table: F.coalesce("given", merged(word, table))), F.lit(0))
     told = words.select(ids.alias("ids"), "slices", "places").mapInArrow(_returned, "slice long, places binary, sizes binary, ids binary")
-    texts = df.mapInArrow(_sliced(df, pattern, _numbered(kind)), f"slice long, ids array<{kind}>, n_words long, counts binary, codes binary")
+    texts = df.mapInArrow(_sliced(_numbered(kind)), f"slice long, ids array<{kind}>, n_words long, counts binary, codes binary")
 
     def finish(rows: pa.Table, told: pa.Table) -> pa.Table:
         if not len(rows):
