@@ -40,13 +40,20 @@ def test_fold_of_random_words(spark, library):
     rng = random.Random(4)
     pools = ["etaoin", "abcdefghijklmnopqrstuvwxyz", "aab", "éü漢🙂x", "01"]
     words = sorted({"".join(rng.choice(pool) for _ in range(rng.randrange(1, 40))) for pool in pools for _ in range(300)})
-    table = bytebpe.rank_map(bytebpe.load_ranks(RANKS))
-    word = F.decode(F.col("w").cast("binary"), "ISO-8859-1")
-    out = spark.createDataFrame([(w,) for w in words], "w string").select("w", F.transform(F.array(table), lambda t: bytebpe.merged(word, t))[0].alias("ids"))
     ranks = bytebpe.load_ranks(RANKS)
+    table = bytebpe.rank_map(ranks)
+    single = {b: bytebpe.token_char(ranks[bytes([b])]) for b in range(256)}
+    given = [(w, w.encode().decode("latin-1").translate(single)) for w in words]
+    out = spark.createDataFrame(given, "w string, c string").select("w", F.transform(F.array(table), lambda t: bytebpe.merged(F.col("c"), t))[0].alias("tokens"))
     for r in out.collect():
         want = library._encode_single_piece(r.w.encode())
-        assert r.ids == want == bytebpe.merged_long(r.w.encode(), ranks), r.w
+        assert bytebpe.char_ranks(r.tokens).tolist() == want == bytebpe.merged_long(r.w.encode(), ranks), r.w
+
+
+def test_token_characters_sort_as_ranks_and_skip_surrogates():
+    ranks = [0, 255, 0xD6FF, 0xD700, 0xD701, 60000, 200000]
+    chars = "".join(map(bytebpe.token_char, ranks))
+    assert sorted(chars) == list(chars) and bytebpe.char_ranks(chars).tolist() == ranks
 
 
 def test_words_of_many_slices(spark, rows, library, monkeypatch):

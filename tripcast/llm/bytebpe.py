@@ -3,9 +3,9 @@
 Texts are cut into pre-tokens (words) inside tasks, and each slice of texts keeps its
 words as numbers in its own list of distinct words. Slices send these lists by bucket;
 a bucket has one row per distinct word, and there Spark's higher-order functions
-fold the merges: a word is an array of one-byte strings, the rank of every pair of
-neighbours is looked up in a literal rank map, and each step joins the leftmost pair of
-the lowest rank. The ids go back to the slices, which put them in the order of
+fold the merges: a word is a string with a character per token, at first one per byte;
+every pair of neighbours is looked up in a literal rank map, and each step puts the
+token of the leftmost pair of the lowest rank in its place. The ids go back to the slices, which put them in the order of
 their texts. A word that all documents hold is merged once and costs a row per slice.
 
 Decoding concatenates the bytes of the ids.
@@ -33,10 +33,10 @@ from tripcast.llm.text import raw, slices
 
 SLICE = 6 << 20
 AT_ONCE = 1 << 18  # runs of numbers that are put together at once
-LONG = 256  # bytes of a word from which on its merges are kept in a heap, as a fold's steps cost its length each
+LONG = 48  # bytes of a word beyond which its merges are kept in a heap, as a fold looks all pairs up in each step
 ENTRIES = 1 << 20  # word places that a task holds before it sends them back
 MAP_BUCKETS = 1 << 16  # of the literal rank map; a lookup reads one of them
-EDGE = "Ā"  # stands around a word, in no token
+FIRST_CHAR = 0x100  # stands for rank 0
 
 
 def taken(values: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -62,45 +62,45 @@ def vocabulary(ranks: dict[bytes, int]) -> Vocabulary:
     return Vocabulary.of(tokens)
 
 
+def token_char(rank: int) -> str:
+    """The character that stands for a token while its word is merged; characters sort as ranks do."""
+    code = FIRST_CHAR + rank
+    return chr(code if code < 0xD800 else code + 0x800)  # no surrogates
+
+
+def char_ranks(chars: str) -> np.ndarray:
+    codes = np.frombuffer(chars.encode("utf-32-le"), np.uint32).astype(np.int64)
+    return codes - FIRST_CHAR - np.where(codes < 0xD800, 0, 0x800)
+
+
 def rank_map(ranks: dict[bytes, int]) -> Column:
-    """The ranks as a literal: an array of small maps, by the CRC of the token (as a string with a character per byte)."""
+    """The ranks as a literal: an array of small maps, by the CRC of a pair of token characters, from the pair to the character of both together."""
     buckets: list[dict | None] = [None] * MAP_BUCKETS
     for token, rank in ranks.items():
-        name = token.decode("latin-1")
-        at = zlib.crc32(name.encode()) % MAP_BUCKETS
-        buckets[at] = (buckets[at] or {}) | {name: rank}
-    return F.from_json(F.lit(json.dumps(buckets)), "array<map<string,int>>")
+        for cut in range(1, len(token)):
+            left, right = ranks.get(token[:cut]), ranks.get(token[cut:])
+            if left is not None and right is not None:
+                pair = token_char(left) + token_char(right)
+                at = zlib.crc32(pair.encode()) % MAP_BUCKETS
+                buckets[at] = (buckets[at] or {}) | {pair: token_char(rank)}
+    return F.from_json(F.lit(json.dumps(buckets, ensure_ascii=False)), "array<map<string,string>>")
 
 
 def merged(word: Column, table: Column) -> Column:
-    """Ids of a word (a string with a character per byte) by folding ranked merges; null for an empty word."""
-
-    def rank(piece: Column) -> Column:
-        return F.get(table, (F.crc32(piece) % MAP_BUCKETS).cast("int"))[piece]
+    """A word (a string with a token character per byte) by folding ranked merges: a token character per token."""
 
-    def bound(value: Column, state: Column, body) -> Column:  # evaluates value once
-        return F.aggregate(F.array(value), state, body)
-
-    rest, none = F.lit(1 << 30), F.array(F.lit(None).cast("int"))
-    pieces = F.concat(F.array(F.lit(EDGE)), F.split(word, ""), F.array(F.lit(EDGE)))
-    # rank i is that of pieces i and i + 1 together
-    ranks = F.concat(none, F.transform(F.sequence(F.lit(1), F.char_length(word) - 1), lambda i: rank(F.substring(word, i, F.lit(2)))), none)
-
-    def joined(state: Column, i: Column) -> Column:
-        def put(s: Column, new: Column) -> Column:
-            about = F.array(rank(F.concat(F.get(s.p, i - 2), new)), rank(F.concat(new, F.get(s.p, i + 1))))
-            return F.struct(F.concat(F.slice(s.p, F.lit(1), i - 1), F.array(new), F.slice(s.p, i + 2, rest)).alias("p"),
-                            F.concat(F.slice(s.r, F.lit(1), i - 2), about, F.slice(s.r, i + 2, rest)).alias("r"))
+    def step(state: Column, _: Column) -> Column:
+        pairs = F.transform(F.sequence(F.lit(1), F.char_length(state) - 1), lambda i: F.substring(state, i, F.lit(2)))
+        both = F.transform(pairs, lambda p: F.get(table, (F.crc32(p) % MAP_BUCKETS).cast("int"))[p])
 
-        return bound(F.concat(F.get(state.p, i - 1), F.get(state.p, i)), state, put)
+        def join(s: Column, found: Column) -> Column:
+            least = F.array_min(found)
+            return F.when(least.isNull(), s).otherwise(F.overlay(s, least, F.array_position(found, least).cast("int"), F.lit(2)))
 
-    def step(state: Column, _: Column) -> Column:
-        least = F.array_min(state.r)
-        return F.when(least.isNull(), state).otherwise(bound(F.array_position(state.r, least).cast("int"), state, joined))
+        # an aggregate over one array evaluates it once
+        return F.when(F.char_length(state) < 2, state).otherwise(F.aggregate(F.array(both), state, join))
 
-    folded = F.aggregate(F.sequence(F.lit(2), F.char_length(word)), F.struct(pieces.alias("p"), ranks.alias("r")), step,
-                         lambda s: F.transform(F.slice(s.p, F.lit(2), F.size(s.p) - 2), rank))
-    return F.when(F.char_length(word) == 1, F.array(rank(word))).when(F.char_length(word) > 1, folded)
+    return F.when(F.char_length(word) < 2, word).otherwise(F.aggregate(F.sequence(F.lit(2), F.char_length(word)), word, step))
 
 
 def merged_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -250,7 +250,7 @@ def _numbered(kind):
 
 
 def _distinct(ranks_file: str):
-    """A bucket's distinct words, each with the slices and places that hold it; ids of long words only."""
+    """A bucket's distinct words, as token characters, and the slices and places that hold each; long ones are merged here."""
 
     def one(table: pa.Table) -> pa.Table:
         sizes = [R.unpack(b, np.uint32).astype(np.int64) for b in table["sizes"].to_pylist()]
@@ -265,20 +265,19 @@ def _distinct(ranks_file: str):
         places = np.concatenate([R.unpack(b, np.uint32) for b in table["places"].to_pylist()])[order]
         own = [pa.BinaryArray.from_buffers(pa.binary(), len(cuts) - 1, [None, pa.py_buffer((cuts * x.itemsize).astype(np.int32)), pa.py_buffer(x.tobytes())])
                for x in (at, places.astype(np.int32))]
-        long = pc.greater(pc.binary_length(coded.dictionary), LONG).to_numpy(zero_copy_only=False)
-        given = [None] * len(long)
-        if long.any():
-            ranks = load_ranks(ranks_file)
-            for i in np.flatnonzero(long).tolist():
-                given[i] = merged_long(coded.dictionary[i].as_py(), ranks)
-        word = [None if x else w for w, x in zip(coded.dictionary.to_pylist(), long.tolist(), strict=True)]
-        return pa.table([pa.array(word, pa.binary()), pa.array(given, pa.list_(pa.int32())), *own], names=["word", "given", "slices", "places"])
+        ranks = load_ranks(ranks_file)
+        single = {b: token_char(ranks[bytes([b])]) for b in range(256)}
+        word, done = [], []
+        for w in coded.dictionary.to_pylist():
+            done.append("".join(map(token_char, merged_long(w, ranks))) if len(w) > LONG else None)
+            word.append(None if len(w) > LONG else w.decode("latin-1").translate(single))
+        return pa.table([pa.array(word, pa.string()), pa.array(done, pa.string()), *own], names=["word", "done", "slices", "places"])
 
     return one
 
 
 def _returned(batches):
-    """Rows (ids, slices, places) of words to rows of slices: packed places, numbers of ids, and ids."""
+    """Rows (tokens, slices, places) of words to rows of slices: packed places, numbers of ids, and ids."""
     held, n = [], 0
 
     def flush():
@@ -299,9 +298,10 @@ def _returned(batches):
         if not len(batch):
             continue
         at, places = (np.frombuffer(raw(batch[c].cast(pa.large_binary()))[0].tobytes(), t) for c, t in (("slices", np.int64), ("places", np.int32)))
-        counts = pc.list_value_length(batch["ids"]).to_numpy().astype(np.int64)
+        counts = pc.utf8_length(batch["tokens"]).to_numpy().astype(np.int64)
+        ids = char_ranks(raw(batch["tokens"].cast(pa.large_binary()))[0].tobytes().decode())
         uses = pc.binary_length(batch["slices"]).to_numpy().astype(np.int64) // 8
-        held.append((counts, batch["ids"].flatten().to_numpy(), at, places, np.repeat(np.arange(len(batch)), uses)))
+        held.append((counts, ids, at, places, np.repeat(np.arange(len(batch)), uses)))
         n += len(at)
         if n >= ENTRIES:
             yield flush()
@@ -325,10 +325,9 @@ def encode(docs: DataFrame, ranks_file: str, id_col: str = "doc_id", text_col: s
     kind = df.schema["c0"].dataType.simpleString()
     buckets = max(16, R.group_count(df, "c1") // 4)
     listed = df.mapInArrow(_sliced(_listed(buckets)), "bucket int, slice long, places binary, sizes binary, words binary")
-    words = listed.groupBy("bucket").applyInArrow(_distinct(ranks_file), "word binary, given array<int>, slices binary, places binary")
-    word = F.decode("word", "ISO-8859-1")
-    ids = F.get(F.transform(F.array(rank_map(ranks)), lambda table: F.coalesce("given", merged(word, table))), F.lit(0))
-    told = words.select(ids.alias("ids"), "slices", "places").mapInArrow(_returned, "slice long, places binary, sizes binary, ids binary")
+    words = listed.groupBy("bucket").applyInArrow(_distinct(ranks_file), "word string, done string, slices binary, places binary")
+    tokens = F.get(F.transform(F.array(rank_map(ranks)), lambda table: F.coalesce("done", merged(F.col("word"), table))), F.lit(0))
+    told = words.select(tokens.alias("tokens"), "slices", "places").mapInArrow(_returned, "slice long, places binary, sizes binary, ids binary")
     texts = df.mapInArrow(_sliced(_numbered(kind)), f"slice long, ids array<{kind}>, n_words long, counts binary, codes binary")
 
     def finish(rows: pa.Table, told: pa.Table) -> pa.Table:
