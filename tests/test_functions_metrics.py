@@ -1,6 +1,9 @@
 """Scalar functions (F5, F6), statistics (A0) and window grains."""
 
+import math
+import random
 from datetime import datetime
+from fractions import Fraction
 
 import pytest
 from pyspark.sql import functions as F
@@ -44,11 +47,47 @@ def trips_df(spark, rows):
         "trip_distance double, total_amount double")
 
 
-def test_accumulator_two_trips(spark):
-    df = trips_df(spark, [("2022-01-01 10:20:00", "Q", "morning", 2, 2.5, 12.0),
-                          ("2022-01-01 11:20:00", "Q", "noon", 4, 7.3, 65.0)])
-    s = M.stats_as_doubles(M.window_stats(df, M.grain("borough"))).first()
-    assert (s.trips, s.passengers, s.distance, s.revenue) == (2, 6.0, 9.8, 77.0)
+def test_statistics_of_a_window(spark):
+    df = trips_df(spark, [("2023-05-17 06:41:00", "N", "morning", 5, 0.35, 8.2),
+                          ("2023-05-17 12:03:00", "N", "noon", 1, 11.05, 41.9),
+                          ("2023-05-17 12:04:00", "S", "noon", 1, 1.0, 1.0)])
+    s = M.stats_as_doubles(M.window_stats(df, M.grain("borough"))).where("dimension = 'N'").first()
+    assert (s.trips, s.passengers, s.distance, s.revenue) == (2, 6.0, 11.4, 50.1)
+
+
+def exact_total(values):
+    finite = [v for v in values if v is not None and math.isfinite(v)]
+    odd = [v for v in values if v is not None and not math.isfinite(v)]
+    if odd or not finite:
+        return sum(odd) if odd else None
+    total = sum(map(Fraction, map(repr, finite)))
+    try:
+        return float(total)
+    except OverflowError:
+        return math.inf if total > 0 else -math.inf
+
+
+SUMS = [[1e300, 1e-30, 1 / 3], [1e300, -1e300, 1e-30], [0.1] * 10, [1e18, 0.01, -1e18], [-0.1, -0.2, 1e-12], [5e-324, 1e-300, -1e-300], [1.7976931348623157e308, -1e292],
+        [123456789.12345678, 1e-9, -123456789.12345678], [2.5, None], [None], [0.0, -0.0], [float("inf"), 1.0], [float("nan"), 1e300], [-3e-8, 2e-16, -7e25, 7e25]]
+
+
+def test_sums_are_exact_in_every_order(spark):
+    rng = random.Random(6)
+    rows, want = [], {}
+    for i, values in enumerate(SUMS):
+        for k in range(4):
+            mixed = values * (1 if k == 0 else 3)
+            rng.shuffle(mixed)
+            want[f"{i} {k}"] = exact_total(mixed)
+            rows += [(f"{i} {k}", v) for v in mixed]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "dropoff_borough string, v double").repartition(5).select(
+        F.to_timestamp(F.lit("2023-05-17 06:40:00")).alias("event_time"), "dropoff_borough",
+        F.lit(1.0).alias("passenger_count"), F.col("v").alias("trip_distance"), F.col("v").alias("total_amount"))
+    got = {r.dimension: r.revenue for r in M.window_stats(df, M.grain("borough")).collect()}
+    assert got.keys() == want.keys()
+    for k, v in want.items():
+        assert got[k] == v or (v is not None and math.isnan(v) and math.isnan(got[k])), (k, got[k], v)
 
 
 def test_weekly_windows_start_monday_with_iso_label(spark):

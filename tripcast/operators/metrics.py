@@ -1,15 +1,13 @@
 """Windowed trip metrics (A0-A12) and the wide-to-long finaliser.
 
-Each grain is (window, dimension, metric dictionary). Statistics per window
-and dimension are one ``groupBy(window, key).agg(count, sum x3)``: Spark's
-partial/final hash aggregation is the incremental accumulator of the
-reference, so a hot dimension value (the constant 'all', a busy borough)
-is reduced before the shuffle. Sums are exact and independent of row
-order for all decimals of usual size, and sums of doubles beyond (K13).
-
-Metric dictionaries map a metric name to a column expression over the
-statistics columns ``trips, passengers, distance, revenue``; add a metric
-by adding an entry.
+Statistics per window and dimension are a ``groupBy(window, key, bands)`` of counts
+and sums, in which a hot dimension value (the constant 'all', a busy borough) is
+reduced before the shuffle, and a small second one that puts the bands together. A
+band is a range of magnitudes (``functions.numeric``): sums are exact and the same in
+every row order, for values of any size (K13). Nearly all rows share one band, so
+the first aggregation has a row per window and key.
+
+Metrics are listed in ``METRICS``; add one by adding a line.
 """
 
 from __future__ import annotations
@@ -21,41 +19,38 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tripcast.config import DEFAULT_RULES, Rules
-from tripcast.functions.numeric import part_names, ratio, ratio_or_zero, resum_parts, sum_parts, summed
+from tripcast.functions.numeric import added, amount, band, ratio, ratio_or_zero, special
 from tripcast.functions.timefn import iso_week_label
 
-Stats = dict[str, Column]
-MetricFn = Callable[[Stats], Column]
-
-# Fixed metric names and formulas, grouped by grain.
-BOROUGH_METRICS: dict[str, MetricFn] = {
-    "trip_count_by_borough": lambda s: s["trips"],
-    "avg_passengers_by_borough": lambda s: ratio(s["passengers"], s["trips"]),
-    "avg_distance_by_borough": lambda s: ratio(s["distance"], s["trips"]),
-}
-TIME_OF_DAY_METRICS: dict[str, MetricFn] = {
-    "trip_count_by_time_of_day": lambda s: s["trips"],
-    "avg_passengers_by_time_of_day": lambda s: ratio(s["passengers"], s["trips"]),
-    "avg_distance_by_time_of_day": lambda s: ratio(s["distance"], s["trips"]),
-}
-WEEKLY_METRICS: dict[str, MetricFn] = {
-    "trips_per_week": lambda s: s["trips"],
-    "revenue_by_week": lambda s: s["revenue"],
-    "revenue_per_mile_by_week": lambda s: ratio_or_zero(s["revenue"], s["distance"]),
-}
-LAST_HOUR_METRICS: dict[str, MetricFn] = {
-    "avg_price_last_h": lambda s: ratio(s["revenue"], s["trips"]),
-    "revenue_last_h": lambda s: s["revenue"],
-    "trips_last_h": lambda s: s["trips"],
-}
+# Fixed metric names: what each one is, over the statistics of its grain.
+#   (name, grain, statistic, divided by, what a division by zero or less gives)
+METRICS = (
+    ("trip_count_by_borough", "borough", "trips", None, None),
+    ("avg_passengers_by_borough", "borough", "passengers", "trips", None),
+    ("avg_distance_by_borough", "borough", "distance", "trips", None),
+    ("trip_count_by_time_of_day", "time_of_day", "trips", None, None),
+    ("avg_passengers_by_time_of_day", "time_of_day", "passengers", "trips", None),
+    ("avg_distance_by_time_of_day", "time_of_day", "distance", "trips", None),
+    ("trips_per_week", "week", "trips", None, None),
+    ("revenue_by_week", "week", "revenue", None, None),
+    ("revenue_per_mile_by_week", "week", "revenue", "distance", 0.0),
+    ("trips_last_h", "last_hour", "trips", None, None),
+    ("revenue_last_h", "last_hour", "revenue", None, None),
+    ("avg_price_last_h", "last_hour", "revenue", "trips", None),
+)
+
+
+def value_of(statistic: str, divisor: str | None, at_zero: float | None) -> Column:
+    if divisor is None:
+        return F.col(statistic).cast("double")
+    return ratio(F.col(statistic), F.col(divisor)) if at_zero is None else ratio_or_zero(F.col(statistic), F.col(divisor))
 
 
 @dataclass(frozen=True)
 class Grain:
-    """Window shape + dimension + metrics."""
+    """Window shape and dimension."""
 
     name: str
-    metrics: dict[str, MetricFn]
     size_seconds: int
     slide_seconds: int | None = None      # None: tumbling
     offset_seconds: int = 0
@@ -63,17 +58,20 @@ class Grain:
     constant: str = "all"
     label_from_window: Callable[[Column], Column] | None = None  # dimension derived from window start
 
+    @property
+    def metrics(self) -> dict[str, Column]:
+        return {name: value_of(*how) for name, of, *how in METRICS if of == self.name}
+
 
 def grains(rules: Rules = DEFAULT_RULES) -> list[Grain]:
     day, week = 24 * 3600, 7 * 24 * 3600
     return [
-        Grain("borough", BOROUGH_METRICS, day, dimension="dropoff_borough"),
-        Grain("time_of_day", TIME_OF_DAY_METRICS, day, dimension="time_of_day"),
+        Grain("borough", day, dimension="dropoff_borough"),
+        Grain("time_of_day", day, dimension="time_of_day"),
         # 7-day windows shifted 4 days from the epoch (a Thursday) start on Monday; the
         # ISO week label is a function of the window, so it is not a grouping key
-        Grain("week", WEEKLY_METRICS, week, offset_seconds=4 * 24 * 3600, label_from_window=iso_week_label),
-        Grain("last_hour", LAST_HOUR_METRICS, rules.last_hour_window_minutes * 60,
-              slide_seconds=rules.last_hour_slide_minutes * 60),
+        Grain("week", week, offset_seconds=4 * 24 * 3600, label_from_window=iso_week_label),
+        Grain("last_hour", rules.last_hour_window_minutes * 60, slide_seconds=rules.last_hour_slide_minutes * 60),
     ]
 
 
@@ -84,20 +82,30 @@ def grain(name: str, rules: Rules = DEFAULT_RULES) -> Grain:
 # statistics per window and the trip column each one sums
 SUMMED = {"passengers": "passenger_count", "distance": "trip_distance", "revenue": "total_amount"}
 STATS = ("trips", *SUMMED)
-PARTS = ["trips", *(p for name in SUMMED for p in part_names(name))]
+BANDS = [f"{name}_band" for name in SUMMED]
+
+
+def banded(trips: DataFrame) -> DataFrame:
+    """trips with the band of each summed column, by which sums are grouped."""
+    return trips.withColumns({f"{name}_band": band(F.col(c)) for name, c in SUMMED.items()})
 
 
 def sum_columns() -> list[Column]:
-    return [F.count(F.lit(1)).alias("trips"), *(p for name, c in SUMMED.items() for p in sum_parts(name, F.col(c)))]
+    """Aggregates of one window, key and bands."""
+    return [F.count(F.lit(1)).alias("trips"),
+            *(f for name, c in SUMMED.items() for f in (F.sum(amount(F.col(c))).alias(f"{name}_total"), F.sum(special(F.col(c))).alias(f"{name}_special")))]
 
 
-def resum_columns() -> list[Column]:
-    return [F.sum("trips").alias("trips"), *(p for name in SUMMED for p in resum_parts(name))]
+def gathered_columns() -> list[Column]:
+    """Aggregates over the rows of one window and key, a few per band."""
+    of = lambda name: F.collect_list(F.struct(F.col(f"{name}_band").alias("band"), F.col(f"{name}_total").alias("total")))
+    return [F.sum("trips").alias("trips"), *(f for name in SUMMED for f in (of(name).alias(f"{name}_bands"), F.sum(f"{name}_special").alias(f"{name}_special")))]
 
 
 def finished(stats: DataFrame) -> DataFrame:
-    """Statistics with the parts of each sum made into one double."""
-    return stats.select("window_start", "window_end", "dimension", "trips", *[summed(name) for name in SUMMED])
+    """Statistics with the bands of each sum put together as one double."""
+    return stats.select("window_start", "window_end", "dimension", "trips",
+                        *[F.coalesce(f"{name}_special", added(F.col(f"{name}_bands"))).alias(name) for name in SUMMED])
 
 
 def _dim(g: Grain) -> Column:
@@ -109,38 +117,17 @@ def window_stats(trips: DataFrame, g: Grain, rules: Rules = DEFAULT_RULES,
     """window_start, window_end, dimension, trips, passengers, distance, revenue (A0).
 
     ``bound``: windows are kept only when ``window_end <= bound`` (closed by
-    the watermark); None keeps every window.
+    the watermark); None keeps every window. Streams may use it too: both
+    aggregations are by windows of the event time.
     """
-    ts = F.col(time_col)
-    if g.slide_seconds is None or g.slide_seconds == g.size_seconds:
-        w = F.window(ts, f"{g.size_seconds} seconds", f"{g.size_seconds} seconds",
-                     f"{g.offset_seconds} seconds")
-        stats = trips.groupBy(w.alias("w"), _dim(g).alias("dimension")).agg(*sum_columns()).select(
-            F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
-            "dimension", *PARTS)
-    elif g.size_seconds % g.slide_seconds == 0 and g.offset_seconds == 0:
-        # sliding: aggregate per slide bucket first, then fan each bucket out to the
-        # size/slide windows that contain it, and add up again (expansion after reduction)
-        n = g.size_seconds // g.slide_seconds
-        bucket = F.window(ts, f"{g.slide_seconds} seconds").start
-        pre = trips.groupBy(bucket.alias("bucket"), _dim(g).alias("dimension")).agg(*sum_columns())
-        fanned = pre.select(
-            "bucket", "dimension", *PARTS,
-            F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("k"),
-        ).select(
-            F.timestamp_micros(F.unix_micros("bucket") - F.col("k").cast("bigint") * F.lit(g.slide_seconds * 1_000_000))
-            .alias("window_start"),
-            "dimension", *PARTS)
-        stats = fanned.groupBy("window_start", "dimension").agg(*resum_columns()).select(
-            "window_start",
-            F.timestamp_micros(F.unix_micros("window_start") + F.lit(g.size_seconds * 1_000_000)).alias("window_end"),
-            "dimension", *PARTS)
-    else:
-        w = F.window(ts, f"{g.size_seconds} seconds", f"{g.slide_seconds} seconds",
-                     f"{g.offset_seconds} seconds")
-        stats = trips.groupBy(w.alias("w"), _dim(g).alias("dimension")).agg(*sum_columns()).select(
-            F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
-            "dimension", *PARTS)
+    size, slide, offset = f"{g.size_seconds} seconds", f"{g.slide_seconds or g.size_seconds} seconds", f"{g.offset_seconds} seconds"
+    # one row per slide, key and bands first: a trip is in one slide, also if its windows overlap
+    by_slide = g.slide_seconds is not None and g.size_seconds % g.slide_seconds == 0 and not g.offset_seconds
+    first = F.window(time_col, slide, slide, offset) if by_slide or g.slide_seconds is None else F.window(time_col, size, slide, offset)
+    sums = banded(trips).groupBy(first.alias("s"), _dim(g).alias("dimension"), *BANDS).agg(*sum_columns())
+    w = F.window(F.window_time("s"), size, slide).alias("w") if by_slide else F.col("s").alias("w")
+    stats = sums.groupBy(w, "dimension").agg(*gathered_columns()).select(
+        F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "*")
     if g.label_from_window is not None:
         stats = stats.withColumn("dimension", g.label_from_window(F.col("window_start")))
     if bound is not None:
@@ -148,12 +135,9 @@ def window_stats(trips: DataFrame, g: Grain, rules: Rules = DEFAULT_RULES,
     return finished(stats)
 
 
-def to_metric_rows(stats: DataFrame, metrics: dict[str, MetricFn]) -> DataFrame:
+def to_metric_rows(stats: DataFrame, metrics: dict[str, Column]) -> DataFrame:
     """One statistics row -> one row per metric (A0b): metric_name, window_start, window_end, dimension, value."""
-    s = {c: F.col(c) for c in ("trips", "passengers", "distance", "revenue")}
-    args = []
-    for name, fn in metrics.items():
-        args += [F.lit(name), fn(s).cast("double")]
+    args = [x for name, value in metrics.items() for x in (F.lit(name), value)]
     return stats.select(
         F.stack(F.lit(len(metrics)), *args).alias("metric_name", "value"),
         F.col("window_start").cast("timestamp_ntz").alias("window_start"),
@@ -169,7 +153,7 @@ def grain_metrics(trips: DataFrame, g: Grain, rules: Rules = DEFAULT_RULES,
 
 
 def all_metrics(trips: DataFrame, rules: Rules = DEFAULT_RULES, bound: Column | None = None) -> DataFrame:
-    """Every windowed metric (U3 without the gauge): one partial and final aggregation per grain.
+    """Every windowed metric (U3 without the gauge), grain by grain.
 
     Each grain reads its own columns of the trips; give it a written table
     where making the trips is dear.

@@ -63,21 +63,8 @@ def stream_metric_rows(trips: DataFrame, grain: M.Grain, zones: DataFrame,
     """Windowed statistics of valid trips in append mode, as metric rows."""
     valid = trips.where(F.col("is_valid"))
     enriched = enrich.enrich_trips(valid, zones, rules)
-    stats = M.window_stats(watermarked(enriched, rules), grain, rules) \
-        if grain.slide_seconds is None else _sliding_stats(watermarked(enriched, rules), grain, rules)
-    return M.to_metric_rows(stats, grain.metrics)
-
-
-def _sliding_stats(trips: DataFrame, grain: M.Grain, rules: Rules) -> DataFrame:
-    """Two chained aggregations: one state row per slide and dimension, then its windows from those rows.
-
-    A trip updates one row, not one for each of the windows that hold it.
-    """
-    slide = f"{grain.slide_seconds} seconds"
-    slides = trips.groupBy(F.window("event_time", slide).alias("s"), F.lit(grain.constant).alias("dimension")).agg(*M.sum_columns())
-    w = F.window(F.window_time("s"), f"{grain.size_seconds} seconds", slide)
-    sums = slides.groupBy(w.alias("w"), "dimension").agg(*M.resum_columns())
-    return M.finished(sums.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "dimension", *M.PARTS))
+    # two chained aggregations: a trip updates one state row, not one for each sliding window that holds it
+    return M.to_metric_rows(M.window_stats(watermarked(enriched, rules), grain, rules), grain.metrics)
 
 
 def _epoch_sink(path: str):
