@@ -8,7 +8,7 @@ every pair of neighbours is looked up in a literal rank map, and each step puts
 token of the leftmost pair of the lowest rank in its place. The ids go back to the slices, which put them in the order of
 their texts. A word that all documents hold is merged once and costs a row per slice.
 
-Decoding concatenates the bytes of the ids.
+Decoding joins the bytes of the ids, one character per byte, by the same functions.
 """
 
 from __future__ import annotations
@@ -28,10 +28,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripcast.llm import rounds as R
-from tripcast.llm.alignment import Vocabulary, _runs
+from tripcast.llm.alignment import _runs
 from tripcast.llm.text import raw, slices
 
 SLICE = 6 << 20
+CUT_BYTES = 1 << 20  # of texts that are cut into words at once
 AT_ONCE = 1 << 18  # runs of numbers that are put together at once
 LONG = 48  # bytes of a word beyond which its merges are kept in a heap, as a fold looks all pairs up in each step
 ENTRIES = 1 << 20  # word places that a task holds before it sends them back
@@ -55,13 +56,6 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in file if line.strip())}
 
 
-def vocabulary(ranks: dict[bytes, int]) -> Vocabulary:
-    tokens = [b""] * (max(ranks.values(), default=-1) + 1)
-    for token, rank in ranks.items():
-        tokens[rank] = token
-    return Vocabulary.of(tokens)
-
-
 def token_char(rank: int) -> str:
     """The character that stands for a token while its word is merged; characters sort as ranks do."""
     code = FIRST_CHAR + rank
@@ -189,7 +183,13 @@ class Cutter:
     def batch(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
         """Distinct words (binary) of LargeBinary texts, all their words as numbers in order, and how many each text has."""
         data, offsets = raw(texts)
-        at = np.append(self.starts(data, offsets), len(data)) if len(data) else np.zeros(1, np.int64)
+        found, lo, n = [np.zeros(0, np.int64)], 0, len(texts)
+        while lo < n:  # a few texts at a time, as characters take several times their bytes
+            hi = min(n, max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + CUT_BYTES, side="right")) - 1))
+            if offsets[hi] > offsets[lo]:
+                found.append(self.starts(data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo]) + offsets[lo])
+            lo = hi
+        at = np.append(np.concatenate(found), len(data))
         words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(at) - 1, [None, pa.py_buffer(at.astype(np.int64)), pa.py_buffer(data)])
         coded = words.dictionary_encode()
         return coded.dictionary, coded.indices.to_numpy(), np.diff(np.searchsorted(at, offsets))
@@ -354,23 +354,11 @@ def decode(coded: DataFrame, ranks_file: str, ids_col: str = "ids", out_col: str
 
     Null ids have null bytes. An id that the file lacks, or a null among ids, raises.
     """
-    names = [c for c in coded.columns if c != out_col]
-    df = coded.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(names)])
-    at = f"c{names.index(ids_col)}"
-
-    def one(batches):
-        table = None
-        for batch in batches:
-            table = table or vocabulary(load_ranks(ranks_file))
-            lists = batch[at]
-            ids = lists.flatten()
-            numbers = ids.fill_null(-1).to_numpy().astype(np.int64)
-            if len(numbers) and (numbers.min() < 0 or numbers.max() >= len(table.size) or not table.size[numbers].all()):
-                raise ValueError("an id that the vocabulary lacks")
-            ends = np.concatenate(([0], np.cumsum(table.size[numbers])))[np.concatenate(([0], np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy())))]
-            out = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(batch), [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(taken(table.flat, table.start[numbers], table.size[numbers]))])
-            out = pc.if_else(lists.is_valid(), out, pa.scalar(None, pa.large_binary()))
-            yield pa.record_batch([*batch.columns, out.cast(pa.binary())], names=[*batch.schema.names, "decoded"])
-
-    schema = ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in df.schema), "decoded binary"])
-    return df.mapInArrow(one, schema).toDF(*names, out_col)
+    ranks = load_ranks(ranks_file)
+    pieces: list[str | None] = [None] * (max(ranks.values(), default=-1) + 1)
+    for token, rank in ranks.items():
+        pieces[rank] = token.decode("latin-1")  # a character per byte
+    lacking = F.raise_error(F.lit("an id that the vocabulary lacks")).cast("string")
+    table = F.from_json(F.lit(json.dumps(pieces, ensure_ascii=False)), "array<string>")
+    joined = F.transform(F.array(table), lambda t: F.array_join(F.transform(F.col(ids_col), lambda i: F.coalesce(F.get(t, i), lacking)), ""))
+    return coded.withColumn(out_col, F.encode(F.get(joined, F.lit(0)), "ISO-8859-1"))
