@@ -39,6 +39,8 @@ from tripcast.llm.text import U, Words, mix, ngrams, slices, split
 SHINGLE = 5
 PERCENT = 80
 SMALL = 8  # members of a key's group that are also compared with their neighbours
+HELD = 1 << 20  # keys that a task gathers before it passes them on
+FEW = 1 << 21  # rows of two numbers that a join may broadcast; a table is counted first, and shuffled beyond
 BLOCK = 256  # documents that are compared with those of another block in one place
 PACKED = R.NAMES + ", ids binary, sizes binary, lefts binary, rights binary, owners binary, keys binary"
 
@@ -132,9 +134,24 @@ def _star_pairs(names: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.nda
 
 
 def signatures(df: DataFrame, key: str, text: str, n: int, shingle: int, m: int, k: int) -> DataFrame:
-    """For each slice of texts: packed key rows, ids with set sizes, and candidate pairs inside the slice."""
+    """For each task's texts: packed key rows and candidate pairs, and for each slice ids with set sizes, and keys."""
+
+    def packed(columns: dict) -> pa.RecordBatch:
+        many = len(next(iter(columns.values())))
+        return pa.record_batch({c: (pa.array(columns[c], pa.binary()) if isinstance(columns[c], list) else columns[c].combine_chunks())
+                                if c in columns else pa.nulls(many, t) for c, t in _PACKED_TYPES})
+
+    def met(held: list):
+        """What many slices know together: a name and bucket costs a row per task, not per slice."""
+        names, docs = (np.concatenate(x) for x in zip(*held, strict=True))
+        left, right = _star_pairs(names, docs)
+        rows = R.name_rows(0, n, names, None, docs)
+        yield packed({c: rows[c] for c in rows.column_names})
+        yield packed({"lefts": [left.tobytes()], "rights": [right.tobytes()]})
 
     def one(batches):
+        held, many = [], 0
+        odd = np.arange(m * m + 1, dtype=U) & U(1)
         for batch in batches:
             for part, texts in slices(pa.Table.from_batches([batch]), text):
                 ids = part[key]
@@ -142,22 +159,18 @@ def signatures(df: DataFrame, key: str, text: str, n: int, shingle: int, m: int,
                 sets = shingle_sets(split(texts, lower=True), shingle)
                 sizes = np.array([len(s) for s in sets], np.int64)
                 use = np.flatnonzero(valid & (sizes > 0))
-                rows, left, right, keys = None, np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, U)
+                keys = tensor_keys([sets[i] for i in use], m, k) if len(use) else np.zeros(0, U)
                 if len(use):
-                    names = tensor_keys([sets[i] for i in use], m, k)
-                    keys = names
-                    odd = np.arange(m * m + 1, dtype=U) & U(1)
-                    names = ((names & ~U(1)) | odd).ravel()
                     docs = np.stack([_scrambled(own[use]) if o else own[use] for o in odd], axis=1).ravel()
-                    left, right = _star_pairs(names, docs)
-                    rows = R.name_rows(0, n, names, None, docs)
-                about = {"ids": [own.tobytes()], "sizes": [np.where(valid, sizes, -1 - sizes).tobytes()],
-                         "lefts": [left.tobytes()], "rights": [right.tobytes()], "owners": [own[use].tobytes()], "keys": [keys.tobytes()]}
-                for columns in ({c: rows[c] for c in rows.column_names} if rows is not None else {}, about):
-                    if columns:
-                        many = len(next(iter(columns.values())))
-                        yield pa.record_batch({c: (pa.array(columns[c], pa.binary()) if isinstance(columns[c], list) else columns[c].combine_chunks())
-                                               if c in columns else pa.nulls(many, t) for c, t in _PACKED_TYPES})
+                    held.append((((keys & ~U(1)) | odd).ravel(), docs))
+                    many += len(docs)
+                yield packed({"ids": [own.tobytes()], "sizes": [np.where(valid, sizes, -1 - sizes).tobytes()],
+                              "owners": [own[use].tobytes()], "keys": [keys.tobytes()]})
+                if many >= HELD:
+                    yield from met(held)
+                    held, many = [], 0
+        if held:
+            yield from met(held)
 
     return df.select(key, text).mapInArrow(one, PACKED)
 
@@ -234,18 +247,23 @@ def _keys_of(packed: DataFrame, tables: int) -> DataFrame:
     return packed.where("owners is not null").select("owners", "keys").mapInArrow(flat, "node long, same long, keys binary")
 
 
+def _few(table: DataFrame) -> DataFrame:
+    """A written table of numbers for the small side of a join."""
+    return F.broadcast(table) if table.count() <= FEW else table
+
+
 def late_links(df: DataFrame, packed: DataFrame, pairs: DataFrame, members: DataFrame, tables: int, shingle: int, percent: int) -> DataFrame:
     """Links (a, b) between component ids whose documents share a key, as many as join what such links join.
 
     df holds the texts (c1) by id (c0). Work is dealt by what the candidate pairs connect, in pairs of blocks.
     """
-    comp = members.select("node", F.col("component_id").alias("comp"))
-    sides = [comp.select(F.col("node").alias(x), F.col("comp").alias(f"c{x}")) for x in "ab"]
+    comp = _few(members.select("node", F.col("component_id").alias("comp")))
+    sides = [_few(members).select(F.col("node").alias(x), F.col("component_id").alias(f"c{x}")) for x in "ab"]
     met = pairs.join(sides[0], "a", "left").join(sides[1], "b", "left").select(
         F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")).where("a <> b")
     whole = R.written(components(met).toDF("comp", "whole"), "open")
     keyed = _keys_of(packed, tables).join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    classes = R.written(keyed.join(whole, "comp").groupBy("whole", "same", "comp").agg(
+    classes = R.written(keyed.join(_few(whole), "comp").groupBy("whole", "same", "comp").agg(
         F.min("node").alias("node"), F.any_value("keys").alias("keys")), "classes")
     blocks = classes.groupBy("whole").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     placed = classes.join(blocks, "whole").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
@@ -258,7 +276,7 @@ def late_links(df: DataFrame, packed: DataFrame, pairs: DataFrame, members: Data
                 found = [s.tobytes() for s in shingle_sets(split(texts, lower=True), shingle)]
                 yield pa.record_batch({"node": part["c0"].combine_chunks(), "found": pa.array(found, pa.binary())})
 
-    mine = df.join(classes.select(F.col("node").alias("c0")).distinct(), "c0", "left_semi").select("c0", "c1")
+    mine = df.join(_few(classes.select(F.col("node").alias("c0"))), "c0", "left_semi").select("c0", "c1")
     work = placed.join(mine.mapInArrow(sets_of, "node long, found binary"), "node")
 
     def settle(table: pa.Table) -> pa.Table:
