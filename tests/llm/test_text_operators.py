@@ -91,6 +91,20 @@ def test_line_dedup_folds_ascii_only_and_counts_documents(spark):
     assert got == sorted([(-1, 1, 1, "")] + [(i, 5, 2, f"own {i}\nown {i}\nown {i}") for i in range(4)] + [(9, 4, 1, "été\n\n"), (9, 1, 0, "own 0")])
 
 
+def test_line_dedup_of_a_document_of_200000_lines(spark):
+    text = "\n".join(f"own {i}" if i % 3 else f"shared {i % 7} " for i in range(200000))
+    rows = [(0, text), *((i, "\n".join(f"Shared {k}" for k in range(7))) for i in range(1, 4)), (9, ""), (10, None)]
+    got = {r.doc_id: (r.n_lines, r.n_dropped, r.text) for r in L.line_dedup(spark.createDataFrame(rows, "doc_id long, text string"), min_docs=4).collect()}
+    assert got == lines(rows, 4)
+
+
+def test_line_dedup_of_rows_without_string_ids(spark):
+    rows = [(None, f"same\nown {i}") for i in range(12)] + [("x", "same")]
+    got = L.line_dedup(spark.createDataFrame(rows, "doc_id string, text string"), min_docs=13).collect()
+    assert sorted(r.text for r in got) == sorted(["", *(f"own {i}" for i in range(12))])
+    assert L.line_dedup(spark.createDataFrame([], "doc_id string, text string")).collect() == []
+
+
 def test_fold_is_exact(spark):
     texts = ["Aé", "aé", "AÉ", "aÉ", "Ａ", "ａ", "Σ", "σ", "ς", "İ", "i̇", "Đ", "đ", "𐐀", "𐐨", "Þ", "þ", "ã©", "é"]
     got = spark.createDataFrame([(t,) for t in texts], "t string").select("t", L.fold(F.col("t")).alias("f")).collect()

@@ -6,7 +6,7 @@ row sends each distinct key once; counting combines before the shuffle, so a lin
 that a third of all documents hold costs a row per task. Keys counted often enough
 meet the lines again (a join that Spark splits where a key is hot, or broadcasts
 where the keys are few), their documents are counted exactly, and each text that
-loses lines gets their positions.
+loses lines gets their positions and is put together from the stretches between them.
 """
 
 from __future__ import annotations
@@ -44,7 +44,7 @@ def line_dedup(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, id_col:
     lines = F.split(full, "\n", -1)
     # the row's text, so that rows sharing an id keep their own positions
     df = df.withColumn("r", F.xxhash64(full))
-    doc = F.coalesce(F.xxhash64(key, F.lit(0)), F.col("r")) if docs.schema[id_col].dataType.simpleString() == "string" else \
+    doc = F.when(F.col(key).isNull(), F.col("r")).otherwise(F.xxhash64(key, F.lit(0))) if docs.schema[id_col].dataType.simpleString() == "string" else \
         F.coalesce(F.col(key).cast("long"), F.col("r"))
 
     def keyed(array: Column, *more: str) -> DataFrame:
@@ -57,10 +57,16 @@ def line_dedup(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, id_col:
     hits = keyed(lines, "r", "pos").join(often.select("h", "g"), ["h", "g"])
     # array_distinct sees lines, not keys, and an id may repeat: count the documents of these keys exactly
     sure = hits.groupBy("h", "g", "doc").agg(F.lit(1).alias("one")).groupBy("h", "g").agg(F.count("*").alias("n")).where(F.col("n") >= min_docs)
-    lost = hits.join(sure.select("h", "g"), ["h", "g"]).groupBy("doc", "r").agg(F.collect_set("pos").alias("lost"))
+    lost = hits.join(sure.select("h", "g"), ["h", "g"]).groupBy("doc", "r").agg(F.array_sort(F.collect_set("pos")).alias("lost"))
     out = df.withColumn("doc", doc).join(lost, ["doc", "r"], "left")
     out = out.withColumns({"lines": lines, "lost": F.coalesce("lost", F.array().cast("array<int>"))})
-    kept = F.when(F.size("lost") == 0, full).otherwise(F.concat_ws("\n", F.filter("lines", lambda x, i: ~F.array_contains("lost", i))))
+    # the stretches between lost lines, each taken once
+    def stretch(every: Column, j: Column) -> Column:
+        before, after = F.coalesce(F.get("lost", j - 1), F.lit(-1)), F.coalesce(F.get("lost", j), F.size(every))
+        return F.slice(every, before + 2, after - before - 1)
+
+    rest = F.transform(F.array("lines"), lambda every: F.flatten(F.transform(F.sequence(F.lit(0), F.size("lost")), lambda j: stretch(every, j))))
+    kept = F.when(F.size("lost") == 0, full).otherwise(F.concat_ws("\n", F.get(rest, F.lit(0))))
     out = out.withColumns({text: kept, "total": F.size("lines").cast("long"), "gone": F.size("lost").cast("long")})
     keep = [c for c in names if c not in ("n_lines", "n_dropped")]
     return out.select(*[F.col(f"c{names.index(c)}").alias(c) for c in keep], F.col("total").alias("n_lines"), F.col("gone").alias("n_dropped"))
