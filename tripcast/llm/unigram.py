@@ -10,12 +10,14 @@ of a slice of texts is solved once, all parts of like length together.
 
 from __future__ import annotations
 
+import pickle
 import re
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -257,10 +259,11 @@ def _mapped(df: DataFrame, model: str, column: str, kind: str, result: str, work
     names = df.columns
     plain = df.toDF(*[f"c{i}" for i in range(len(names))])
     source = f"c{names.index(column)}"
-    shared = df.sparkSession.sparkContext.broadcast(Unigram(model))
+    # pickled here with its class: workers need no copy of this package
+    shared = df.sparkSession.sparkContext.broadcast(cloudpickle.dumps(Unigram(model)))
 
     def one(batches):
-        unigram = shared.value
+        unigram = pickle.loads(shared.value)
         for batch in batches:
             table = pa.Table.from_batches([batch])
             for part, values in slices(table, source, SLICE):
