@@ -8,7 +8,7 @@ from fractions import Fraction
 import pytest
 from pyspark.sql import functions as F
 
-from tripcast.functions.timefn import iso_week_label, parse_iso_timestamp, time_of_day
+from tripcast.functions.timefn import epoch_millis, from_epoch_millis, iso_week_label, parse_iso_timestamp, time_of_day
 from tripcast.operators import metrics as M
 
 
@@ -40,6 +40,12 @@ def test_iso_grammar(spark, text, ok):
     assert (df.select(parse_iso_timestamp(F.col("s"))).first()[0] is not None) == ok
 
 
+def test_epoch_milliseconds_there_and_back(spark):
+    df = spark.createDataFrame([(datetime(1969, 12, 31, 23, 59, 59, 999000),), (datetime(2023, 5, 17, 6, 40, 0, 123000),), (None,)], "t timestamp")
+    rows = df.select("t", epoch_millis(F.col("t")).alias("ms"), from_epoch_millis(epoch_millis(F.col("t"))).alias("back")).collect()
+    assert [r.ms for r in rows] == [-1, 1684305600123, None] and all(r.t == r.back for r in rows)
+
+
 def trips_df(spark, rows):
     return spark.createDataFrame(
         [(datetime.fromisoformat(t), b, tod, float(pc), float(dist), float(amt)) for t, b, tod, pc, dist, amt in rows],

@@ -45,6 +45,13 @@ def test_cleaning_load_then_publish_then_validate(spark, work):
     log = spark.read.parquet(log_path)
     n = spark.read.parquet(raw_trips).count()
     assert log.count() == 2 * n and log.select("key").distinct().count() == n
+    # every record knows its place in replay order, and each topic's files are in it
+    order = log.orderBy("sequence").select("sequence", "event_time").collect()
+    assert [r.sequence for r in order] == list(range(2 * n)) and all(a.event_time <= b.event_time for a, b in zip(order, order[1:]))
+    for topic in (R.pickup_topic, R.dropoff_topic):
+        for f in {r.f for r in log.where(F.col("topic") == topic).select(F.input_file_name().alias("f")).distinct().collect()}:
+            places = [r.sequence for r in spark.read.parquet(f).select("sequence").collect()]
+            assert places == sorted(places)
 
     # every published event passes validation
     pick = log.where(F.col("topic") == R.pickup_topic).select("key", "value")

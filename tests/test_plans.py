@@ -7,8 +7,10 @@ import tempfile
 from datetime import datetime
 
 from conftest import event, records
+from pyspark.sql import functions as F
+
 from tripcast.operators import pairing, trips as T, validation as V
-from tripcast.sources.trips import date_slices
+from tripcast.sources.trips import date_slices, table_slices, write_by_month
 
 
 def plan_of(df):
@@ -29,6 +31,20 @@ def test_date_slices_reach_the_scan(spark):
     assert sliced.count() == 14 and set(got) == {40, 41}
 
 
+def test_slices_of_a_table_read_their_months_only(spark):
+    path = os.path.join(tempfile.mkdtemp(prefix="tripcast-months-"), "trips")
+    rows = [(datetime(2020 + m // 12, m % 12 + 1, 14, 23, 59, 59, 999999), float(m)) for m in range(48)] + [(None, 1.0), (datetime(2021, 9, 30), 2.0), (datetime(2021, 10, 1), 3.0)]
+    write_by_month(spark.createDataFrame(rows, "pickup_datetime timestamp, trip_distance double"), path)
+    slices = [(40, "2021-08-15", "2021-09-30"), (41, "2022-03-14", "2022-03-14"), (42, "2021-09-01", "2021-09-14")]
+    sliced = table_slices(spark, path, slices)
+    want = sorted((n, d) for n, lo, hi in slices for t, d in rows if t and lo <= t.date().isoformat() <= hi)
+    assert sorted((r.slice_no, r.trip_distance) for r in sliced.collect()) == want
+    scan = sliced._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in scan
+    files = sliced.select(F.input_file_name().alias("f")).distinct().collect()
+    assert {r.f.split("pickup_month=")[1][:7] for r in files} == {"2021-09", "2022-03"}
+
+
 def test_trip_ids_without_repeats_are_paired_by_one_aggregation(spark):
     p = V.pickups(V.parse_events(records(spark, [event("pickup")]), "pickup"))
     d = V.dropoffs(V.parse_events(records(spark, [event("dropoff")]), "dropoff"))

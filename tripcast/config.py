@@ -6,6 +6,7 @@ import os
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.classic.dataframe import DataFrame as ClassicDataFrame
 
 
 # Fixed values that the results depend on: passenger range, duration and
@@ -119,11 +120,7 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     partitions of a scan only plans its splits, while on a derived plan it
     would run the plan's broadcasts or shuffles.
     """
-    if df.isStreaming:
-        return df
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        current = df.rdd.getNumPartitions()
-    except Exception:  # no RDD access (e.g. a Spark Connect session): leave the input as is
-        return df
-    return df if current >= target else df.repartition(target)
+    if df.isStreaming or not isinstance(df, ClassicDataFrame):
+        return df  # a Spark Connect session has no RDDs to count partitions of
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= target else df.repartition(target)

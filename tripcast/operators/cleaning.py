@@ -8,7 +8,7 @@ Spark while it is small), and the load summary is one rollup.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from tripcast.config import DEFAULT_RULES, Rules
 from tripcast.functions.numeric import truncate_int
@@ -90,6 +90,21 @@ def load_summary(cleaned: DataFrame) -> DataFrame:
     )
 
 
+def counted(cleaned: DataFrame) -> tuple[DataFrame, Observation]:
+    """cleaned with counters that fill while it is read, e.g. by the write of its accepted rows (V4)."""
+    seen = Observation()
+    per_reason = [F.count_if(F.col("reason") == r).alias(r) for r in CLEANING_REASONS]
+    return cleaned.observe(seen, F.count(F.lit(1)).alias("processed"), F.count_if(F.col("reason").isNull()).alias("inserted"), *per_reason), seen
+
+
+def observed_summary(spark: SparkSession, seen: Observation) -> DataFrame:
+    """The rows of load_summary from the counters of a finished read."""
+    n = seen.get
+    rows = [("processed", None, n["processed"]), ("inserted", None, n["inserted"]), ("rejected", None, n["processed"] - n["inserted"])]
+    rows += [("rejected", r, n[r]) for r in CLEANING_REASONS if n[r]]
+    return spark.createDataFrame([r for r in rows if r[0] == "processed" or r[2]], "status string, reason string, rows long")
+
+
 def zone_semi(raw: DataFrame, zones: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
     """Rows whose pickup and dropoff zone ids are both valid zones (J5, semi join)."""
     ids = valid_zone_ids(zones)

@@ -8,9 +8,9 @@ time, so Spark range-partitions and sorts it in parallel.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tripcast.config import DEFAULT_RULES, Rules
+from tripcast.config import DEFAULT_RULES, Rules, materialize
 from tripcast.functions.timefn import iso_string
 
 DROPOFF_RANK, PICKUP_RANK = 0, 1
@@ -101,6 +101,20 @@ def order_event_log(events: DataFrame) -> DataFrame:
     return events.orderBy("event_time", "kind_rank", "key")
 
 
-def topic_records(events: DataFrame, topic: str) -> DataFrame:
-    """The (key, value, event_time) records of one topic."""
-    return events.where(F.col("topic") == topic).select("key", "value", "event_time")
+def replay_positions(events: DataFrame, sequence_col: str = "sequence") -> DataFrame:
+    """events with their place in replay order, from 0 without gaps (O2).
+
+    A distributed ranking: events are dealt by ranges of the order and sorted there, each range's
+    size is counted, and a range starts where those before it end. No task sees more than
+    its range, and the order is a column that outlives any later shuffle.
+    """
+    order = ("event_time", "kind_rank", "key")
+    ranges = events.repartitionByRange(*order).sortWithinPartitions(*order)
+    # the ranges are sampled, so they are written once and then read as they are
+    numbered = materialize(ranges.withColumn("_at", F.monotonically_increasing_id()))
+    part, place = F.shiftright("_at", 33), F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    sizes = numbered.groupBy(part.alias("_range")).agg(F.count("*").alias("_size"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
+    starts = sizes.select("_range", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
+    out = numbered.withColumn("_range", part).join(starts, "_range")
+    return out.select(*events.columns, (F.col("_start") + place).alias(sequence_col))

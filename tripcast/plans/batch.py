@@ -120,29 +120,43 @@ def run_cleaning_job(raw: DataFrame, zones: DataFrame, raw_trips_path: str,
     """Clean raw trip rows into the raw_trips table (V1-V4, K-S5).
 
     Refuses (returns None) when the table already has rows; otherwise
-    returns the load summary (status, reason, rows), computed from the same
-    checkpointed cleaning result that was written.
+    returns the load summary (status, reason, rows), counted while the rows were written.
     """
     from tripcast.operators import cleaning
     from tripcast.sinks import writers
 
-    cleaned = _materialize(cleaning.clean_trips(raw, zones, rules))
+    cleaned, seen = cleaning.counted(cleaning.clean_trips(raw, zones, rules))
     if not writers.append_if_empty(cleaning.accepted_trips(cleaned), raw_trips_path):
         return None
-    return cleaning.load_summary(cleaned)
+    return cleaning.observed_summary(raw.sparkSession, seen)
 
 
-def run_publish_job(raw_trips: DataFrame, event_log_path: str, rules: Rules = DEFAULT_RULES) -> bool:
-    """Derive the event log of a raw_trips table and publish it (O2-O4, K-S8, K-S9).
+def run_zones_job(spark: SparkSession, csv_path: str, zones_path: str) -> DataFrame:
+    """Replace the zone dimension by the zones of a lookup file (S1, K-S6); returns the new table."""
+    from tripcast.sinks import writers
+    from tripcast.sources.zones import read_zones_csv
+
+    writers.replace_rows(read_zones_csv(spark, csv_path), zones_path)
+    return writers.read_current(spark, zones_path)
+
+
+def run_publish_job(raw_trips: DataFrame, event_log_path: str, rules: Rules = DEFAULT_RULES,
+                    bootstrap_servers: str | None = None) -> bool:
+    """Derive the event log of a raw_trips table and publish both topics (O2-O4, K-S8, K-S9).
 
     Trip ids come from each row's content (O3), so a re-run derives the same
-    ids, also after the table was rewritten. The log is written in replay order, partitioned by topic;
-    a non-empty target is refused.
+    ids, also after the table was rewritten. Every record carries its place in replay order.
+    Nothing is sent if one of the topics has records.
     """
     from tripcast.operators import eventlog
     from tripcast.sinks import writers
 
+    spark, topics = raw_trips.sparkSession, (rules.pickup_topic, rules.dropoff_topic)
+    if any(writers.topic_has_records(spark, t, bootstrap_servers, event_log_path) for t in topics):
+        return False
     with_ids = eventlog.assign_trip_ids(raw_trips)
-    log = eventlog.order_event_log(eventlog.trip_events(with_ids, rules))
-    return writers.append_if_empty(log.select("topic", "key", "value", "event_time"), event_log_path,
-                                   partition_by=("topic",))
+    log = _materialize(eventlog.replay_positions(eventlog.trip_events(with_ids, rules)))
+    for topic in topics:
+        own = log.where(F.col("topic") == topic)
+        writers.publish_topic(own, topic, bootstrap_servers, event_log_path, order=("sequence",), carry=("event_time", "sequence"))
+    return True

@@ -239,6 +239,13 @@ _LINEITEM_TEXT = ", ".join(f"coalesce(length({c}::VARCHAR) || ':' || {c}::VARCHA
     "l_quantity", "l_returnflag", "l_shipdate", "l_suppkey", "l_tax"))
 
 
+_NAMED = f"""WITH {RAW_B},
+named(slice_no, lo, hi) AS (VALUES (1, DATE '1995-03-09', DATE '1995-06-30'), (2, DATE '1996-02-27', DATE '1996-03-01'),
+  (3, DATE '1997-12-31', DATE '1998-01-01'), (9, DATE '2031-01-01', DATE '2031-12-31'))
+SELECT {RAW_COLS}, CAST(slice_no AS INTEGER) AS slice_no FROM rawb JOIN named
+  ON TRY_CAST(pickup_datetime AS TIMESTAMP) >= lo AND TRY_CAST(pickup_datetime AS TIMESTAMP) < hi + INTERVAL 1 DAY"""
+
+
 def oracle_sql() -> dict[str, str]:
     from tripcast.plans.queries import METRIC_IDS
 
@@ -248,7 +255,9 @@ def oracle_sql() -> dict[str, str]:
         "s2_raw_trips": f"WITH {RAW_B} SELECT {RAW_COLS} FROM rawb",
         "s3_date_slices": f"""WITH {RAW_B} SELECT {RAW_COLS},
   CAST(year(TRY_CAST(pickup_datetime AS TIMESTAMP)) - 1994 AS INTEGER) AS slice_no FROM rawb
-  WHERE TRY_CAST(pickup_datetime AS TIMESTAMP) >= TIMESTAMP '1995-01-01' AND TRY_CAST(pickup_datetime AS TIMESTAMP) < TIMESTAMP '2002-01-01'""",
+  WHERE TRY_CAST(pickup_datetime AS TIMESTAMP) IS NOT NULL""",
+        "s3_named_slices": _NAMED,
+        "s3_table_slices": _NAMED,
         "s4_ordered_trips": f"""WITH {RAW_B} SELECT pickup_ts AS pickup_datetime, dropoff_ts AS dropoff_datetime,
   pz AS pickup_zone, dz AS dropoff_zone, CAST(trunc(passenger_count) AS INTEGER) AS passenger_count,
   CAST(trip_distance AS DOUBLE) AS trip_distance, CAST(total_amount AS DOUBLE) AS total_amount
@@ -271,6 +280,10 @@ def oracle_sql() -> dict[str, str]:
         "o3_trip_ids": f"""
 SELECT l_orderkey, l_linenumber, sha256(row || '#' || (row_number() OVER (PARTITION BY row) - 1)) AS trip_id
 FROM (SELECT *, concat_ws('#', {_LINEITEM_TEXT}) AS row FROM lineitem)""",
+        "o2_replay_positions": with_trips(f"""
+  SELECT row_number() OVER (ORDER BY event_time, kind_rank, key) - 1 AS sequence, topic, key, event_time FROM (
+    SELECT '{R.pickup_topic}' AS topic, trip_id AS key, pickup_ts AS event_time, 1 AS kind_rank FROM ppay
+    UNION ALL SELECT '{R.dropoff_topic}', trip_id, dropoff_ts, 0 FROM dpay)"""),
         "o2_event_log": with_trips(f"""
   SELECT '{R.pickup_topic}' AS topic, trip_id AS key, pickup_ts AS event_time, 1 AS kind_rank, raw_payload AS value FROM ppay
   UNION ALL
@@ -329,6 +342,15 @@ SELECT id AS trip_id, p_zone AS pickup_zone, d_zone AS dropoff_zone, p_t AS pick
     q.update({
         "g1_open_trips": with_trips("SELECT * FROM gauge"),
         "a0b_aggregates": with_trips("SELECT * FROM aggregates"),
+        "ks6_zones_refresh": """SELECT CAST(n_nationkey AS INTEGER) AS location_id, r_name AS borough, n_name AS zone,
+       'Zone ' || CAST(r_regionkey AS VARCHAR) AS service_zone FROM nation JOIN region ON n_regionkey = r_regionkey""",
+        "r5_raw_reconciliation": f"""WITH {trip_ctes()},
+raw AS (SELECT *, dropoff_ts - pickup_ts AS gap FROM a WHERE passenger_count <= {R.max_passengers} AND total_amount > 0),
+lim AS (SELECT least(max(pickup_ts), max(dropoff_ts)) - INTERVAL 30 SECOND AS b FROM raw),
+n AS (SELECT count(*) FILTER (gap > INTERVAL 0 SECOND AND gap <= INTERVAL 3 HOUR AND date_trunc('day', dropoff_ts) + INTERVAL 1 DAY <= b) AS ok,
+  count(*) FILTER ((gap = INTERVAL 0 SECOND OR gap > INTERVAL 3 HOUR) AND gap <= INTERVAL 48 HOUR OR gap > INTERVAL 48 HOUR AND pickup_ts + INTERVAL 48 HOUR < b) AS bad
+  FROM raw, lim)
+SELECT CAST(ok AS DOUBLE) AS daily_total, ok AS raw_valid, bad AS invalid_total, bad AS raw_invalid, TRUE AS consistent FROM n""",
         "f5_time_of_day": """SELECT event_id, CASE WHEN hour(ts) >= 5 AND hour(ts) < 11 THEN 'morning'
   WHEN hour(ts) >= 11 AND hour(ts) < 14 THEN 'noon' WHEN hour(ts) >= 14 AND hour(ts) < 17 THEN 'afternoon'
   WHEN hour(ts) >= 17 AND hour(ts) < 23 THEN 'evening' ELSE 'night' END AS time_of_day FROM events""",

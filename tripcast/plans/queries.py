@@ -19,8 +19,8 @@ from tripcast.operators import cleaning, eventlog, metrics as M, trips as T_, va
 from tripcast.plans import batch, reports
 from tripcast.sinks import writers
 from tripcast.sources import fixtures
-from tripcast.sources.trips import ordered_trips, year_slices
-from tripcast.sources.zones import valid_zone_ids
+from tripcast.sources.trips import date_slices, ordered_trips, read_trips_csv, table_slices, write_by_month, year_slices
+from tripcast.sources.zones import read_zones_csv, valid_zone_ids
 
 Query = Callable[[SparkSession, str], DataFrame]
 R = DEFAULT_RULES
@@ -51,12 +51,50 @@ def _trip_out(df: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------ sources
 
+def _scratch(spark, name):
+    return scratch_path(spark, f"{name}/{uuid.uuid4().hex}")
+
+
 def s1_zone_scan(spark, sf):
-    return fixtures.zone_fixture(spark, sf)
+    """The zones as a lookup file, read back."""
+    path = _scratch(spark, "zones")
+    zones = fixtures.zone_fixture(spark, sf)
+    writers.export_csv(zones.withColumnsRenamed({"location_id": "LocationID", "borough": "Borough", "zone": "Zone"}), path)
+    return read_zones_csv(spark, path)
+
+
+def ks6_zones_refresh(spark, sf):
+    """The zone table, first with changed and surplus rows, then replaced by the lookup file (K-S6)."""
+    path, table = _scratch(spark, "zones"), _scratch(spark, "zones-table")
+    zones = fixtures.zone_fixture(spark, sf)
+    writers.replace_rows(zones.unionByName(zones.withColumns({"location_id": F.col("location_id") + 1000, "borough": F.lit("old")})), table)
+    writers.export_csv(zones.withColumnsRenamed({"location_id": "LocationID", "borough": "Borough", "zone": "Zone"}), path)
+    return batch.run_zones_job(spark, path, table)
 
 
 def s2_raw_trips(spark, sf):
-    return fixtures.raw_trip_fixture(spark, sf)
+    """The raw trips as CSV files, read back."""
+    path = _scratch(spark, "trips-csv")
+    writers.export_csv(fixtures.raw_trip_fixture(spark, sf), path)
+    return read_trips_csv(spark, path)
+
+
+# number, first day, last day
+NAMED_SLICES = [(1, "1995-03-09", "1995-06-30"), (2, "1996-02-27", "1996-03-01"), (3, "1997-12-31", "1998-01-01"), (9, "2031-01-01", "2031-12-31")]
+
+
+def s3_named_slices(spark, sf):
+    """Slices with named first and last days, by bounds that reach the scan (S3)."""
+    raw = fixtures.raw_trip_fixture(spark, sf).withColumn("_pickup", F.try_to_timestamp(F.col("pickup_datetime")))
+    return date_slices(raw, NAMED_SLICES, ts_col="_pickup").drop("_pickup")
+
+
+def s3_table_slices(spark, sf):
+    """The same slices of a table with a folder per month (S3)."""
+    path = _scratch(spark, "trips-by-month")
+    raw = fixtures.raw_trip_fixture(spark, sf).withColumn("_pickup", F.try_to_timestamp(F.col("pickup_datetime")))
+    write_by_month(raw, path, ts_col="_pickup")
+    return table_slices(spark, path, NAMED_SLICES, ts_col="_pickup").drop("_pickup")
 
 
 FIRST_YEAR = 1995  # has slice number 1
@@ -129,6 +167,12 @@ def o2_event_log(spark, sf):
     return log.select("topic", "key", to_ntz(F.col("event_time")).alias("event_time"), "kind_rank", "value")
 
 
+def o2_replay_positions(spark, sf):
+    """Every event's place in replay order."""
+    log = eventlog.replay_positions(fixtures.event_log_fixture(spark, sf, R))
+    return log.select("sequence", "topic", "key", to_ntz(F.col("event_time")).alias("event_time"))
+
+
 def o3_trip_ids(spark, sf):
     """Stable surrogate id per source row, from the row and its number among equal rows."""
     li = eventlog.assign_trip_ids(fixtures.load_table(spark, sf, "lineitem"))
@@ -286,7 +330,7 @@ def ks3_metrics_upsert(spark, sf):
     again = _tables(spark, sf, close="all").metrics().where(
         F.col("metric_name").endswith("_by_borough") | F.col("metric_name").endswith("_last_h")
     ).withColumn("value", F.col("value") + F.lit(1.0))
-    path = scratch_path(spark, f"ks3/{uuid.uuid4().hex}")
+    path = _scratch(spark, "ks3")
     writers.upsert_partitions(first, path, partition_by=("metric_name",))
     writers.upsert_partitions(again, path, partition_by=("metric_name",))
     return spark.read.parquet(path).select(*first.columns)
@@ -315,11 +359,23 @@ def r5_reconciliation(spark, sf):
     return reports.reconciliation(t.metric("trip_count_by_borough"), t.valid, writers.first_invalid(t.trips), t.bound)
 
 
+def r5_raw_reconciliation(spark, sf):
+    """The job over the undamaged event log of all acceptable trips, against those trips."""
+    raw = fixtures.trip_fixture(fixtures.load_table(spark, sf, "events")).where(
+        (F.col("passenger_count") <= R.max_passengers) & (F.col("total_amount") > 0))
+    log = eventlog.trip_events(raw, R)
+    sides = [log.where(F.col("topic") == t).select("key", "value") for t in (R.pickup_topic, R.dropoff_topic)]
+    t = batch.build(*sides, fixtures.zone_fixture(spark, sf), R, materialize=True)
+    return reports.raw_reconciliation(t.metric("trip_count_by_borough"), writers.first_invalid(t.trips), raw, t.bound)
+
+
 def queries() -> dict[str, Query]:
     out: dict[str, Query] = {
         "s1_zone_scan": s1_zone_scan,
         "s2_raw_trips": s2_raw_trips,
         "s3_date_slices": s3_date_slices,
+        "s3_named_slices": s3_named_slices,
+        "s3_table_slices": s3_table_slices,
         "s4_ordered_trips": s4_ordered_trips,
         "s7_valid_zone_ids": s7_valid_zone_ids,
         "v1_clean_reasons": v1_clean_reasons,
@@ -329,6 +385,7 @@ def queries() -> dict[str, Query]:
         "j5_zone_semi": j5_zone_semi,
         "j5_zone_anti": j5_zone_anti,
         "o2_event_log": o2_event_log,
+        "o2_replay_positions": o2_replay_positions,
         "o3_trip_ids": o3_trip_ids,
         "v6_pickup_reasons": v6_pickup_reasons,
         "v6_dropoff_reasons": v6_dropoff_reasons,
@@ -357,11 +414,13 @@ def queries() -> dict[str, Query]:
         "ks1_rejected_dedupe": ks1_rejected_dedupe,
         "ks2_invalid_first": ks2_invalid_first,
         "ks3_metrics_upsert": ks3_metrics_upsert,
+        "ks6_zones_refresh": ks6_zones_refresh,
         "r1_trips_per_borough": r1_trips_per_borough,
         "r2_invalid_by_reason": r2_invalid_by_reason,
         "r3_rejected_listing": r3_rejected_listing,
         "r4_progress": r4_progress,
         "r5_reconciliation": r5_reconciliation,
+        "r5_raw_reconciliation": r5_raw_reconciliation,
     })
     return {name: _with_settings(fn) for name, fn in out.items()}
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from tripcast.config import DEFAULT_RULES, Rules
+
 
 def trips_per_borough(aggregates: DataFrame, day: str | None = None) -> DataFrame:
     """Trips per borough per day, largest first (R1, O5); one day when ``day`` is given."""
@@ -47,3 +49,25 @@ def reconciliation(aggregates: DataFrame, valid_trips: DataFrame, invalid_trips:
     return aggregates.sparkSession.range(1).select(
         daily.alias("daily_total"), direct.alias("valid_trips"), inval.alias("invalid_trips"),
         (daily == direct.cast("double")).alias("consistent"))
+
+
+def raw_reconciliation(aggregates: DataFrame, invalid_trips: DataFrame, raw_trips: DataFrame, bound, rules: Rules = DEFAULT_RULES) -> DataFrame:
+    """The job's results against the raw trips it replayed.
+
+    One row: daily_total and invalid_total from the result tables, and what the raw
+    rows' own times (pickup_datetime, dropoff_datetime) say: raw_valid, trips of a valid duration in
+    days that ``bound`` closes, and raw_invalid, trips of another duration, or whose sides wait out
+    the time limit before ``bound``.
+    """
+    gap = F.unix_micros("dropoff_datetime") - F.unix_micros("pickup_datetime")
+    limit = F.make_dt_interval(secs=F.lit(rules.timeout_seconds))
+    met = F.abs(gap) <= rules.timeout_seconds * 1_000_000
+    valid = met & (gap > 0) & (gap <= rules.max_duration_seconds * 1_000_000)
+    closed = F.date_trunc("day", F.col("dropoff_datetime")) + F.expr("INTERVAL 1 DAY") <= F.col("bound")
+    waited = F.least("pickup_datetime", "dropoff_datetime") + limit < F.col("bound")
+    raw = raw_trips.select("pickup_datetime", "dropoff_datetime", bound.alias("bound")).agg(
+        F.count_if(valid & closed).alias("raw_valid"), F.count_if((met & ~valid) | (~met & waited)).alias("raw_invalid"))
+    daily = aggregates.where(F.col("metric_name") == "trip_count_by_borough").agg(F.coalesce(F.sum("value"), F.lit(0.0))).scalar()
+    total = invalid_trips.agg(F.count(F.lit(1))).scalar()
+    out = raw.select(daily.alias("daily_total"), "raw_valid", total.alias("invalid_total"), "raw_invalid")
+    return out.withColumn("consistent", (F.col("daily_total") == F.col("raw_valid")) & (F.col("invalid_total") == F.col("raw_invalid")))

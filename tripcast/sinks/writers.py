@@ -174,12 +174,66 @@ def _delete(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def publish_topic(df: DataFrame, topic: str, bootstrap_servers: str | None = None,
-                  fallback_path: str | None = None) -> None:
-    """Keyed publish (K-S8): key = trip id, value = JSON; Parquet (topic, key, value) without a broker."""
-    out = df.select(F.lit(topic).alias("topic"), F.col("key").cast("string"), F.col("value").cast("string"))
+def replace_rows(df: DataFrame, path: str) -> int:
+    """Replace all rows of a small table at once (K-S6); returns the new version.
+
+    A version is written aside and moved into place as a whole; readers (``read_current``)
+    take the highest one, so they see the old rows or the new ones, and a
+    failed refresh changes nothing. Versions but the last two are deleted.
+    """
+    spark = df.sparkSession
+    jpath = spark._jvm.org.apache.hadoop.fs.Path
+    fs = jpath(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    known = _versions(spark, path)
+    version = max(known, default=0) + 1
+    stage = os.path.join(path, "_staging", uuid.uuid4().hex)
+    df.write.parquet(stage)
+    if not fs.rename(jpath(stage), jpath(os.path.join(path, f"version={version}"))):
+        raise OSError(f"version {version} of {path} could not be moved into place")
+    for old in sorted(known)[:-1]:
+        _delete(spark, os.path.join(path, f"version={old}"))
+    return version
+
+
+def _versions(spark: SparkSession, path: str) -> list[int]:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [f.getPath().getName() for f in fs.listStatus(folder)] if fs.exists(folder) else []
+    return [int(n.removeprefix("version=")) for n in names if n.startswith("version=")]
+
+
+def read_current(spark: SparkSession, path: str) -> DataFrame:
+    """The last version that ``replace_rows`` put in place."""
+    known = _versions(spark, path)
+    if not known:
+        raise ValueError(f"{path} has no version yet")
+    return spark.read.parquet(os.path.join(path, f"version={max(known)}"))
+
+
+def topic_has_records(spark: SparkSession, topic: str, bootstrap_servers: str | None = None, fallback_path: str | None = None) -> bool:
+    """Whether a topic holds records (K-S9)."""
+    if bootstrap_servers:
+        found = (spark.read.format("kafka").option("kafka.bootstrap.servers", bootstrap_servers).option("subscribe", topic)
+                 .option("startingOffsets", "earliest").option("endingOffsets", "latest").load())
+        return not found.isEmpty()
+    return _has_rows(spark, os.path.join(fallback_path, f"topic={topic}"))
+
+
+def publish_topic(df: DataFrame, topic: str, bootstrap_servers: str | None = None, fallback_path: str | None = None,
+                  order: Sequence[str] = (), carry: Sequence[str] = ()) -> bool:
+    """Keyed publish (K-S8): key = trip id, value = JSON; False and nothing sent if the topic has records (K-S9).
+
+    Without a broker the topic is a folder of Parquet files, which also keep ``carry``. ``order``: the
+    records of each file are in this order, and files hold ranges of it.
+    """
+    if topic_has_records(df.sparkSession, topic, bootstrap_servers, fallback_path):
+        return False
+    out = df.select(F.col("key").cast("string"), F.col("value").cast("string"), *(c for c in dict.fromkeys((*carry, *order))))
+    if order:
+        out = out.orderBy(*order)
     if bootstrap_servers:
-        (out.write.format("kafka").option("kafka.bootstrap.servers", bootstrap_servers)
+        (out.select("key", "value").write.format("kafka").option("kafka.bootstrap.servers", bootstrap_servers)
          .option("topic", topic).option("kafka.acks", "all").save())
     else:
-        out.write.mode("append").parquet(fallback_path)
+        out.write.parquet(os.path.join(fallback_path, f"topic={topic}"))
+    return True

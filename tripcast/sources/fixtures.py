@@ -132,12 +132,6 @@ def event_log_fixture(spark: SparkSession, sf_dir: str, rules: Rules = DEFAULT_R
     )
 
 
-def topic_fixture(spark: SparkSession, sf_dir: str, topic: str, rules: Rules = DEFAULT_RULES) -> DataFrame:
-    """Records of one topic: key, value (what a Kafka read yields after CAST AS STRING)."""
-    log = event_log_fixture(spark, sf_dir, rules)
-    return log.where(F.col("topic") == topic).select("key", "value")
-
-
 # Fixed injection rules for fixture B (l_orderkey residues), stated together:
 #   %101 -> distance missing, %103 -> distance 0, %107 -> amount 0,
 #   %109 -> 9 passengers, %113 -> unreadable pickup time; valid zones: nation key < 20

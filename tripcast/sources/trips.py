@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from tripcast.schemas import RAW_TRIPS_CSV
 from tripcast.sources.csv import by_header
 
+MONTH = "pickup_month"
 RAW_TRIP_COLUMNS = [f.name for f in RAW_TRIPS_CSV.fields]
 
 
@@ -55,6 +56,32 @@ def date_slices(df: DataFrame, slices: Sequence[tuple[int, str, str]],
     )
 
 
+def write_by_month(df: DataFrame, path: str, ts_col: str = "pickup_datetime") -> None:
+    """Trips as a table with one folder per month of ``ts_col``; rows without a time go to the null folder."""
+    by_month = df.withColumn(MONTH, F.trunc(F.col(ts_col).cast("date"), "month"))
+    by_month.repartition(MONTH).write.partitionBy(MONTH).parquet(path)
+
+
+def table_slices(spark: SparkSession, path: str, slices: Sequence[tuple[int, str, str]],
+                 ts_col: str = "pickup_datetime", slice_col: str = "slice_no") -> DataFrame:
+    """As date_slices, over a table of ``write_by_month``: only the folders of the slices' months are read (S3).
+
+    The slices are a table that is joined by month, so that their months prune the
+    scan when it runs. A row that lies in two slices comes once for each.
+    """
+    rows = []
+    for number, first, last in slices:
+        lo, hi = _day(first), _day(last)
+        for k in range(12 * lo.year + lo.month - 1, 12 * hi.year + hi.month):
+            rows.append((number, lo, hi, dt.date(k // 12, k % 12 + 1, 1)))
+    named = spark.createDataFrame(rows, f"{slice_col} int, _first date, _last date, {MONTH} date")
+    day = F.col(ts_col).cast("date")
+    found = spark.read.parquet(path).withColumn(MONTH, F.col(MONTH).cast("date"))
+    # a row per slice and month, named by the caller: always a small side
+    named = named.where("_first <= _last")  # a slice that ends before it starts holds nothing
+    return found.join(F.broadcast(named), MONTH).where(day.between(F.col("_first"), F.col("_last"))).drop(MONTH, "_first", "_last")
+
+
 def year_slices(df: DataFrame, first_year: int, ts_col: str = "pickup_datetime", slice_col: str = "slice_no") -> DataFrame:
     """Rows with a time, in one slice per calendar year (S3); ``first_year`` is number 1, earlier years have 0 and less.
 
