@@ -5,6 +5,7 @@ import os
 import random
 import shutil
 import tempfile
+import time
 from datetime import datetime, timedelta
 
 import pytest
@@ -251,3 +252,40 @@ def test_table_readers_start_before_the_first_trip(spark, tmp_path):
     q.awaitTermination(60)
     assert q.exception() is None
     assert os.path.isdir(os.path.join(out, "trips"))
+
+
+def test_duplicates_are_ignored_however_late_and_leave_no_state(spark, tmp_path):
+    bad = [f"{{broken {k}" for k in range(6)]
+    folder = tmp_path / "pickup"
+    folder.mkdir()
+    for i, chunk in enumerate([bad[:3] + bad[:1], bad[2:5], bad]):
+        (folder / f"part-{i}.txt").write_text("\n".join(chunk) + "\n")
+        os.utime(folder / f"part-{i}.txt", (1_700_000_000 + 10 * i, 1_700_000_000 + 10 * i))
+    (tmp_path / "dropoff").mkdir()
+    (tmp_path / "dropoff" / "part-0.txt").write_text(bad[0] + "\n")
+    sources = [TopicSource(t, format="text", path=str(tmp_path / side), max_files_per_trigger=1)
+               for t, side in ((R.pickup_topic, "pickup"), (R.dropoff_topic, "dropoff"))]
+    out = str(tmp_path / "out")
+    q = jobs.start_trip_query(spark, *sources, out, R, trigger={"availableNow": True}, checkpoint_root=str(tmp_path / "ckpt"))[1]
+    q.awaitTermination(300)
+    got = spark.read.parquet(os.path.join(out, "rejected_events")).collect()
+    assert sorted((r.topic, r.raw_payload) for r in got) == sorted([(R.pickup_topic, b) for b in bad] + [(R.dropoff_topic, bad[0])])
+    assert all(not p["stateOperators"] for p in q.recentProgress)
+
+
+def test_late_rows_are_counted(spark, tmp_path):
+    pickups = [[("a", 0, 0), ("b", 60, 0)], [("c", 70, 0)], [("late", 10, 0), ("late2", 20, 0), ("d", 80, 0)]]
+    dropoffs = [[("b", 65, 0)], [("x", 69, 0)], [("late", 15, 0), ("c", 81, 0)]]
+    sources = topics(str(tmp_path), pickups, dropoffs)
+    late = jobs.LateRows()
+    spark.streams.addListener(late)
+    try:
+        q = jobs.start_trip_query(spark, *sources, str(tmp_path / "out"), R, trigger={"availableNow": True}, checkpoint_root=str(tmp_path / "ckpt"))[0]
+        q.awaitTermination(300)
+        for _ in range(100):
+            if late.dropped.get(str(q.id)):
+                break
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(late)
+    assert late.dropped[str(q.id)] == 3

@@ -117,6 +117,16 @@ def append_new(df: DataFrame, path: str, keys: Sequence[str], order: Sequence[st
     batch.write.mode("append").parquet(path)
 
 
+def unseen(rows: DataFrame, path: str, keys: Sequence[str]) -> DataFrame:
+    """Rows whose key the table lacks; of the table only the keys that the rows hold leave the scan's tasks."""
+    spark = rows.sparkSession
+    if not _has_rows(spark, path):
+        return rows
+    wanted = rows.select(*keys).distinct()
+    held = spark.read.parquet(path).select(*keys).join(wanted, list(keys), "left_semi").distinct()
+    return new_rows(rows, held, keys)
+
+
 def write_epoch(df: DataFrame, path: str, epoch_id: int) -> bool:
     """Write one micro-batch to ``path/epoch=<id>`` unless that epoch was committed already.
 

@@ -5,9 +5,11 @@ Query A reads both topics, validates (same projection as batch), puts a
 never move event time), unions them and runs the stateful trip join. Trips
 go to a file sink, whose commit log every reader of the table obeys, batch or
 stream: files that a failed attempt left behind are no rows (T15). rejected_events
-are de-duplicated on topic + md5 of the payload by the state store;
-``start_invalid_query`` keeps the first invalid row per trip id (state store) for
-invalid_trips; both write one folder per epoch, moved into place when it is whole.
+keeps one row per topic + md5 of the payload, and ``start_invalid_query`` the first
+invalid row per trip id for invalid_trips: each micro-batch is reduced by the rule of batch
+and what the table holds already is left out, so that no key set grows in a state store
+and a duplicate is ignored however late it comes. Both write one folder per epoch, moved
+into place when it is whole. ``LateRows`` counts what came behind the watermark (T7).
 Metric queries read the trips table as a stream, put their own watermark on the trip
 event time and aggregate each grain in append mode; their ``foreachBatch`` upserts into
 the aggregates table.
@@ -23,6 +25,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.listener import StreamingQueryListener
 
 from tripcast.config import DEFAULT_RULES, Rules, checkpoint_dir
 from tripcast.operators import enrich, metrics as M, validation as V
@@ -30,7 +33,27 @@ from tripcast.schemas import TRIPS
 from tripcast.sinks import writers
 from tripcast.sources.events import TopicSource, read_topic_stream
 from tripcast.streaming.gauge import bucket_ticks, gauge_sink
-from tripcast.streaming.join_processor import FirstInvalidProcessor, TripJoinProcessor
+from tripcast.streaming.join_processor import TripJoinProcessor
+
+
+class LateRows(StreamingQueryListener):
+    """Account of rows that came behind the watermark and were left out (T7): ``dropped`` per query id.
+
+    Register it with ``spark.streams.addListener`` before the queries start.
+    """
+
+    def __init__(self):
+        self.dropped: dict[str, int] = {}
+
+    def onQueryStarted(self, event) -> None:
+        self.dropped[str(event.id)] = 0
+
+    def onQueryProgress(self, event) -> None:
+        late = sum(o.numRowsDroppedByWatermark for o in event.progress.stateOperators)
+        self.dropped[str(event.progress.id)] = self.dropped.get(str(event.progress.id), 0) + late
+
+    def onQueryTerminated(self, event) -> None:
+        pass
 
 
 def watermarked(events: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
@@ -67,9 +90,12 @@ def stream_metric_rows(trips: DataFrame, grain: M.Grain, zones: DataFrame,
     return M.to_metric_rows(M.window_stats(watermarked(enriched, rules), grain, rules), grain.metrics)
 
 
-def _epoch_sink(path: str):
+def _insert_ignore_sink(path: str, keys: list[str], reduced):
+    """foreachBatch function: the micro-batch's rows by key that the table lacks (K-S1, K-S2)."""
     def write(batch: DataFrame, epoch_id: int) -> None:
-        writers.write_epoch(batch, path, epoch_id)
+        rows = reduced(batch).persist()  # read by the look-up and the write
+        writers.write_epoch(writers.unseen(rows, path, keys), path, epoch_id)
+        rows.unpersist()
     return write
 
 
@@ -98,10 +124,8 @@ def start_trip_query(spark: SparkSession, pickup_src: TopicSource, dropoff_src:
     trips = stream_trips(V.pickups(pp), V.dropoffs(dp), rules)
     q_trips = (trips.writeStream.format("parquet").option("path", os.path.join(out_dir, "trips")).outputMode("append")
                .option("checkpointLocation", os.path.join(root, "trips")).trigger(**trigger).start())
-    # insert-ignore on (topic, md5(payload)): equal keys carry equal rows, so the streaming
-    # de-duplication (keys in the state store) keeps exactly what the table key would keep
-    rejected = writers.with_payload_key(V.all_rejected(pp, dp)).dropDuplicates(["topic", "payload_md5"])
-    q_rej = (rejected.writeStream.foreachBatch(_epoch_sink(os.path.join(out_dir, "rejected_events")))
+    sink = _insert_ignore_sink(os.path.join(out_dir, "rejected_events"), ["topic", "payload_md5"], writers.dedupe_rejected)
+    q_rej = (V.all_rejected(pp, dp).writeStream.foreachBatch(sink)
              .option("checkpointLocation", os.path.join(root, "rejected")).trigger(**trigger).start())
     return [q_trips, q_rej]
 
@@ -111,10 +135,8 @@ def start_invalid_query(spark: SparkSession, out_dir: str, rules: Rules = DEFAUL
     """invalid_trips from the trips table: first emitted row per trip_id (K-S2)."""
     root = checkpoint_root or os.path.join(checkpoint_dir(spark), "streams")
     trigger = trigger or {"processingTime": "10 seconds"}
-    trips = _trips_stream(spark, out_dir)
-    first = trips.where(~F.col("is_valid")).groupBy("trip_id").transformWithState(
-        FirstInvalidProcessor(), TRIPS, "Append", "None")
-    return (first.drop("is_valid").writeStream.foreachBatch(_epoch_sink(os.path.join(out_dir, "invalid_trips")))
+    sink = _insert_ignore_sink(os.path.join(out_dir, "invalid_trips"), ["trip_id"], writers.first_invalid)
+    return (_trips_stream(spark, out_dir).writeStream.foreachBatch(sink)
             .option("checkpointLocation", os.path.join(root, "invalid")).trigger(**trigger).start())
 
 

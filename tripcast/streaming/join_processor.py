@@ -154,25 +154,3 @@ class TripJoinProcessor(StatefulProcessor):
 
     def close(self) -> None:
         pass
-
-
-class FirstInvalidProcessor(StatefulProcessor):
-    """Insert-ignore of invalid trips on trip_id (K-S2) with the key set in the state store.
-
-    Within a micro-batch the first row by (event_time, invalid_reason) wins, as
-    in batch; a trip id already seen in an earlier batch emits nothing. One
-    state lookup per row instead of a join against the written table.
-    """
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.seen = handle.getValueState("seen", StructType([StructField("v", IntegerType())]))
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        if self.seen.exists():
-            return
-        first = min(rows, key=lambda r: (_utc(r.event_time), r.invalid_reason))
-        self.seen.update((1,))
-        yield first
-
-    def close(self) -> None:
-        pass
