@@ -6,6 +6,8 @@ documents with the same columns; the last one returns packed sequences.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,16 +18,22 @@ from tripcast.llm.rounds import written
 MIN_SCORE = 0.05  # of language ID: what is further from all profiles than any prose goes
 
 
+def _apart(docs: DataFrame, work: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """work on docs, with their further columns out of the way of an operator's own columns."""
+    names = [c if c in ("doc_id", "text", "lang") else f"further{i}" for i, c in enumerate(docs.columns)]
+    return work(docs.toDF(*names)).select(*names).toDF(*docs.columns)
+
+
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep documents whose language is known; profiles are learned as in operator 8."""
     profiles = langid.learn(docs.where(~langid.held_out()))
-    found = langid.identify(docs, profiles)
-    return found.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= MIN_SCORE)).select(*docs.columns)
+    known = (F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= MIN_SCORE)
+    return _apart(docs, lambda d: langid.identify(d, profiles).where(known))
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop lines that ten or more documents hold."""
-    return lines.line_dedup(docs).select(*docs.columns)
+    return _apart(docs, lines.line_dedup)
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,7 +44,7 @@ def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Remove passages of 13 or more words that an earlier document holds; all other bytes stay."""
-    return substring.substring_dedup(docs, joined=False).select(*docs.columns)
+    return _apart(docs, lambda d: substring.substring_dedup(d, joined=False))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
