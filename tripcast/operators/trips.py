@@ -55,11 +55,19 @@ def both_sides(pickup_events: DataFrame, dropoff_events: DataFrame) -> DataFrame
 
 
 def cogrouped(sides: DataFrame) -> DataFrame:
-    """trip_id, p (latest pickup), d (latest dropoff), pickup_events, dropoff_events."""
-    return sides.groupBy("trip_id").agg(
-        F.max("p").alias("p"), F.max("d").alias("d"),
-        F.count("p").alias("pickup_events"), F.count("d").alias("dropoff_events"),
-    )
+    """trip_id, p, d, pickup_events, dropoff_events; p and d are only meant for trip ids with one event a side.
+
+    Each field is aggregated by itself: fixed-width buffers keep this a hash aggregation
+    without a sort, which a maximum of structs would need.
+    """
+    fields = [(side, f.name) for side, of in (("p", _P), ("d", _D)) for f in of.fields]
+    g = sides.groupBy("trip_id").agg(*[F.max(f"{side}.{name}").alias(f"{side}_{name}") for side, name in fields],
+                                     F.count("p").alias("pickup_events"), F.count("d").alias("dropoff_events"))
+
+    def packed(side: str, events: str) -> Column:
+        return F.when(F.col(events) > 0, F.struct(*[F.col(f"{side}_{name}").alias(name) for of, name in fields if of == side])).alias(side)
+
+    return g.select("trip_id", packed("p", "pickup_events"), packed("d", "dropoff_events"), "pickup_events", "dropoff_events")
 
 
 def pair_sides(pickup_events: DataFrame, dropoff_events: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:

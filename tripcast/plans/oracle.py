@@ -342,6 +342,17 @@ SELECT id AS trip_id, p_zone AS pickup_zone, d_zone AS dropoff_zone, p_t AS pick
     q.update({
         "g1_open_trips": with_trips("SELECT * FROM gauge"),
         "a0b_aggregates": with_trips("SELECT * FROM aggregates"),
+        "ks5_guarded_load": f"""WITH {RAW_B},
+  summary AS (SELECT 'processed' AS status, CAST(NULL AS VARCHAR) AS reason, count(*) AS rows FROM cr
+  UNION ALL SELECT 'inserted', NULL, count(*) FROM cr WHERE reason IS NULL
+  UNION ALL SELECT 'rejected', NULL, count(*) FROM cr WHERE reason IS NOT NULL
+  UNION ALL SELECT 'rejected', reason, count(*) FROM cr WHERE reason IS NOT NULL GROUP BY reason),
+  stored AS (SELECT count(*) AS stored, CAST(sum(trunc(passenger_count)) AS BIGINT) AS passengers FROM cr WHERE reason IS NULL)
+  SELECT status, reason, rows, stored, passengers, TRUE AS refused FROM summary, stored""",
+        "ks8_published_topics": f"""WITH {RAW_B}
+  SELECT '{R.pickup_topic}' AS topic, count(*) AS records, count(*) AS trips, min(pickup_ts) AS first_time, max(pickup_ts) AS last_time,
+    TRUE AS sent, FALSE AS sent_again FROM cr WHERE reason IS NULL
+  UNION ALL SELECT '{R.dropoff_topic}', count(*), count(*), min(dropoff_ts), max(dropoff_ts), TRUE, FALSE FROM cr WHERE reason IS NULL""",
         "ks6_zones_refresh": """SELECT CAST(n_nationkey AS INTEGER) AS location_id, r_name AS borough, n_name AS zone,
        'Zone ' || CAST(r_regionkey AS VARCHAR) AS service_zone FROM nation JOIN region ON n_regionkey = r_regionkey""",
         "r5_raw_reconciliation": f"""WITH {trip_ctes()},
@@ -356,7 +367,7 @@ SELECT CAST(ok AS DOUBLE) AS daily_total, ok AS raw_valid, bad AS invalid_total,
   WHEN hour(ts) >= 17 AND hour(ts) < 23 THEN 'evening' ELSE 'night' END AS time_of_day FROM events""",
         "f6_iso_week": "SELECT l_orderkey, l_linenumber, strftime(l_shipdate, '%G-W%V') AS iso_week FROM lineitem",
         "ks1_rejected_dedupe": with_trips(f"""
-  SELECT DISTINCT topic, reason, raw_payload FROM (
+  SELECT DISTINCT topic, reason, raw_payload, md5(raw_payload) AS payload_md5 FROM (
     SELECT '{R.pickup_topic}' AS topic, reason, raw_payload FROM ppay WHERE reason IS NOT NULL
     UNION ALL SELECT '{R.dropoff_topic}', reason, raw_payload FROM dpay WHERE reason IS NOT NULL)"""),
         "ks2_invalid_first": "WITH " + all_ctes() + "," + FIRST_INVALID + """

@@ -307,7 +307,7 @@ def f6_iso_week(spark, sf):
 # ------------------------------------------------------------------ sinks
 
 def ks1_rejected_dedupe(spark, sf):
-    return writers.dedupe_rejected(_parsed(spark, sf).rejected).select("topic", "reason", "raw_payload")
+    return writers.dedupe_rejected(_parsed(spark, sf).rejected)
 
 
 def ks2_invalid_first(spark, sf):
@@ -336,6 +336,29 @@ def ks3_metrics_upsert(spark, sf):
     return spark.read.parquet(path).select(*first.columns)
 
 
+def ks5_guarded_load(spark, sf):
+    """The cleaning job's table and summary, loaded from all raw trips; a second load is refused (K-S5, A14, V4)."""
+    table = _scratch(spark, "raw-trips")
+    raw, zones = fixtures.raw_trip_fixture(spark, sf), fixtures.cleaning_zone_fixture(spark, sf)
+    summary = batch.run_cleaning_job(raw, zones, table, R)
+    refused = batch.run_cleaning_job(raw, zones, table, R) is None
+    stored = spark.read.parquet(table).agg(F.count("*").alias("stored"), F.sum("passenger_count").alias("passengers"))
+    return summary.select("status", "reason", "rows", stored.select("stored").scalar().alias("stored"),
+                          stored.select("passengers").scalar().alias("passengers"), F.lit(refused).alias("refused"))
+
+
+def ks8_published_topics(spark, sf):
+    """Both topics of the raw trips' event log as published; a second run is refused (K-S8, K-S9)."""
+    path = _scratch(spark, "topics")
+    raw = cleaning.accepted_trips(_cleaned(spark, sf))
+    sent = batch.run_publish_job(raw, path, R)
+    again = batch.run_publish_job(raw, path, R)
+    log = spark.read.parquet(path)
+    return log.groupBy("topic").agg(F.count("*").alias("records"), F.count_distinct("key").alias("trips"),
+                                    to_ntz(F.min("event_time")).alias("first_time"), to_ntz(F.max("event_time")).alias("last_time")
+                                    ).withColumns({"sent": F.lit(sent), "sent_again": F.lit(again)})
+
+
 # ------------------------------------------------------------------ reports
 
 def r1_trips_per_borough(spark, sf):
@@ -414,7 +437,9 @@ def queries() -> dict[str, Query]:
         "ks1_rejected_dedupe": ks1_rejected_dedupe,
         "ks2_invalid_first": ks2_invalid_first,
         "ks3_metrics_upsert": ks3_metrics_upsert,
+        "ks5_guarded_load": ks5_guarded_load,
         "ks6_zones_refresh": ks6_zones_refresh,
+        "ks8_published_topics": ks8_published_topics,
         "r1_trips_per_borough": r1_trips_per_borough,
         "r2_invalid_by_reason": r2_invalid_by_reason,
         "r3_rejected_listing": r3_rejected_listing,
