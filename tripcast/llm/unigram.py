@@ -25,7 +25,7 @@ from tripcast.llm.text import slices
 
 MARK = "▁"
 PENALTY = 10.0  # of an uncovered character, below the lowest score (fixed value of the format)
-SLICE = 6 << 20
+SLICE = 2 << 20
 
 
 def load_pieces(path: str) -> tuple[list[str], np.ndarray, np.ndarray]:
