@@ -29,13 +29,13 @@ from pyspark.sql import functions as F
 
 from tripcast.llm import rounds as R
 from tripcast.llm.alignment import _runs
-from tripcast.llm.text import raw, slices
+from tripcast.llm.text import raw, release, slices
 
 SLICE = 6 << 20
 CUT_BYTES = 1 << 20  # of texts that are cut into words at once
 AT_ONCE = 1 << 18  # runs of numbers that are put together at once
 LONG = 48  # bytes of a word beyond which its merges are kept in a heap, as a fold looks all pairs up in each step
-ENTRIES = 1 << 20  # word places that a task holds before it sends them back
+ENTRIES = 1 << 18  # word places that a task holds before it sends them back
 MAP_BUCKETS = 1 << 16  # of the literal rank map; a lookup reads one of them
 FIRST_CHAR = 0x100  # stands for rank 0
 
@@ -130,11 +130,12 @@ def _classes() -> np.ndarray:
     """Class of each code point, as the pattern has them."""
     import regex
 
-    every = "".join(chr(i) for i in range(0x110000) if not 0xD800 <= i < 0xE000)
+    points = np.arange(0x110000, dtype=np.uint32)
+    every = points[(points < 0xD800) | (points >= 0xE000)].tobytes().decode("utf-32-le")  # no list of characters
     out = np.full(0x110000, OTHER, np.uint8)
     # \s of the library that the pattern is from is the property, without the separators U+001C to U+001F
     for kind, name in ((LETTER, "L"), (NUMBER, "N"), (WHITE, "White_Space")):
-        found = regex.findall(rf"\p{{{name}}}", every)
+        found = regex.findall(rf"\p{{{name}}}+", every)  # runs of code points
         out[np.frombuffer("".join(found).encode("utf-32-le"), np.uint32)] = kind
     return out
 
@@ -252,7 +253,7 @@ def _numbered(kind):
 def _distinct(ranks_file: str):
     """A bucket's distinct words, as token characters, and the slices and places that hold each; long ones are merged here."""
 
-    def one(table: pa.Table) -> pa.Table:
+    def met(table: pa.Table) -> pa.Table:
         sizes = [R.unpack(b, np.uint32).astype(np.int64) for b in table["sizes"].to_pylist()]
         data = b"".join(zstandard.ZstdDecompressor().decompress(b) for b in table["words"].to_pylist())
         offsets = np.concatenate(([0], np.cumsum(np.concatenate(sizes))))
@@ -273,6 +274,11 @@ def _distinct(ranks_file: str):
             word.append(None if len(w) > LONG else w.decode("latin-1").translate(single))
         return pa.table([pa.array(word, pa.string()), pa.array(done, pa.string()), *own], names=["word", "done", "slices", "places"])
 
+    def one(table: pa.Table) -> pa.Table:
+        out = met(table)
+        release()
+        return out
+
     return one
 
 
@@ -306,8 +312,11 @@ def _returned(batches):
         if n >= ENTRIES:
             yield flush()
             held, n = [], 0
+            release()
     if held:
         yield flush()
+    held.clear()
+    release()
 
 
 def encode(docs: DataFrame, ranks_file: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -323,14 +332,14 @@ def encode(docs: DataFrame, ranks_file: str, id_col: str = "doc_id", text_col: s
         raise ValueError(f"no token for bytes {lost}")
     df = docs.select(F.col(id_col).alias("c0"), F.col(text_col).alias("c1"))
     kind = df.schema["c0"].dataType.simpleString()
-    buckets = max(16, R.group_count(df, "c1") // 4)
+    buckets = max(16, R.group_count(df, "c1") // 2)
     listed = df.mapInArrow(_sliced(_listed(buckets)), "bucket int, slice long, places binary, sizes binary, words binary")
     words = listed.groupBy("bucket").applyInArrow(_distinct(ranks_file), "word string, done string, slices binary, places binary")
     tokens = F.get(F.transform(F.array(rank_map(ranks)), lambda table: F.coalesce("done", merged(F.col("word"), table))), F.lit(0))
     told = words.select(tokens.alias("tokens"), "slices", "places").mapInArrow(_returned, "slice long, places binary, sizes binary, ids binary")
     texts = df.mapInArrow(_sliced(_numbered(kind)), f"slice long, ids array<{kind}>, n_words long, counts binary, codes binary")
 
-    def finish(rows: pa.Table, told: pa.Table) -> pa.Table:
+    def ordered(rows: pa.Table, told: pa.Table) -> pa.Table:
         if not len(rows):
             raise RuntimeError("texts were cut otherwise when they were read again: give them a fixed order, e.g. by writing them first")
         n = rows["n_words"][0].as_py()
@@ -345,6 +354,11 @@ def encode(docs: DataFrame, ranks_file: str, id_col: str = "doc_id", text_col: s
         ends = np.concatenate(([0], np.cumsum(size[codes])))[np.concatenate(([0], np.cumsum(counts)))]
         return pa.table({"c0": rows["ids"].combine_chunks().flatten(), "ids": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))})
 
+    def finish(rows: pa.Table, told: pa.Table) -> pa.Table:
+        out = ordered(rows, told)
+        release()
+        return out
+
     out = texts.groupBy("slice").cogroup(told.groupBy("slice")).applyInArrow(finish, f"c0 {kind}, ids array<int>")
     return out.withColumnRenamed("c0", id_col)
 

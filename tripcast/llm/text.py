@@ -7,11 +7,13 @@ the words can be found byte by byte without decoding. A null text has no word.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 U = np.uint64
 SLICE_BYTES = 2 << 20  # of text worked on at once; one longer document is one slice
@@ -44,21 +46,20 @@ def mix(a: np.ndarray, b: np.ndarray | np.uint64) -> np.ndarray:
 
 
 _CODES = _byte_codes()
-_POWERS: dict[str, np.ndarray] = {}
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse modulo 2**64, at least n of them."""
-    if "up" not in _POWERS or len(_POWERS["up"]) < n:
-        size = max(n, SLICE_BYTES)
-        for name, base in (("up", _BASE), ("down", pow(_BASE, -1, 1 << 64))):
-            run = np.full(size, U(base & _MASK), U)
-            run[0] = U(1)
-            _POWERS[name] = np.multiply.accumulate(run)
-    up, down = _POWERS["up"], _POWERS["down"]
-    if size_over := len(up) > 4 * SLICE_BYTES:  # tables of one very long document don't stay
-        _POWERS.clear()
-    return (up, down) if size_over else (_POWERS["up"], _POWERS["down"])
+def _powers(n: int, base: int) -> np.ndarray:
+    """The first n powers of the base modulo 2**64; made anew for each slice, as workers stay while other stages run."""
+    run = np.full(n, U(base & _MASK), U)
+    run[:1] = U(1)
+    return np.multiply.accumulate(run)
+
+
+def release() -> None:
+    """Give memory that isn't in use back to the system, as idle workers of earlier stages count beside those at work."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # of glibc only
+        trim(0)
 
 
 @dataclass
@@ -161,21 +162,25 @@ def split(texts: pa.Array, lower: bool = False) -> Words:
     doc = np.searchsorted(offsets, starts, side="right") - 1
     if not len(starts):
         return Words(data, offsets, starts, ends, doc, np.zeros(0, U))
-    up, down = _powers(n)
     with np.errstate(over="ignore"):
-        sums = np.add.reduceat(_CODES[data] * up[:n], starts) * down[starts]
+        sums = np.add.reduceat(_CODES[data] * _powers(n, _BASE), starts) * _powers(n, pow(_BASE, -1, 1 << 64))[starts]
     return Words(data, offsets, starts, ends, doc, mix(sums, (ends - starts).astype(U)))
 
 
 def slices(table: pa.Table, column: str, size: int = SLICE_BYTES) -> Iterator[tuple[pa.Table, pa.Array]]:
     """Consecutive rows of about size bytes of text with the texts as LargeBinary."""
-    texts = as_large(table[column])
-    _, offsets = raw(texts)
+    texts = table[column]
+    if pa.types.is_null(texts.type):
+        texts = texts.cast(pa.string())
+    # texts become binary slice by slice: of a column with nulls that is a copy
+    sizes = pc.binary_length(texts).fill_null(0).to_numpy().astype(np.int64)
+    offsets = np.concatenate(([0], np.cumsum(sizes)))
     lo, n = 0, len(texts)
     while lo < n:
         hi = min(n, max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + size, side="right")) - 1))
-        yield table.slice(lo, hi - lo), texts.slice(lo, hi - lo)
+        yield table.slice(lo, hi - lo), as_large(texts.slice(lo, hi - lo))
         lo = hi
+    release()
 
 
 def ngrams(h: np.ndarray, n: int) -> np.ndarray:
