@@ -5,7 +5,7 @@ import tracemalloc
 import numpy as np
 import pyarrow as pa
 
-from tripcast.llm import bytebpe, text
+from tripcast.llm import bytebpe, packing, text
 
 
 def test_slices_of_a_column_with_nulls_copy_one_slice_at_a_time():
@@ -48,3 +48,10 @@ def test_no_table_stays_in_a_worker_after_a_slice():
     tracemalloc.stop()
     assert len(words.hash) == 15 and len(np.unique(words.hash)) == 5
     assert held < 1 << 20  # 32 MB of powers stayed before
+
+
+def test_a_slice_of_packing_takes_little_memory():
+    words = " ".join(f"w{i * 7919 % 100003:x}" for i in range(1000))
+    table = pa.table({"c1": [f"{words} {i}" for i in range(2500)]})  # 15 MB
+    most = max(texts.nbytes for _, texts in text.slices(table, "c1", packing.SLICE))
+    assert most < 3 << 20  # 6 MB before; words and ids take many times as much

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from tripcast.llm.text import raw, slices
 
 LENGTH = 1024
-SLICE = 6 << 20
+SLICE = 2 << 20  # of text encoded at once; its words and ids take many times as much
 # Fixed values of byte-level BPE files: the pattern of pre-tokens and the bytes that stand for themselves.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 PLAIN_BYTES = (*range(33, 127), *range(161, 173), *range(174, 256))
