@@ -96,6 +96,21 @@ def trip_events(trips: DataFrame, rules: Rules = DEFAULT_RULES,
     return trips.select(F.inline(F.filter(both, lambda e: e.isNotNull())))
 
 
+def payload_fields(value: str = "value") -> tuple[Column, Column, Column]:
+    """What the payloads of pickups and of dropoffs are made of beside key and time, and the payload made of it.
+
+    The first two are the values for trip_events; the third is the JSON text of a record with such a value.
+    """
+    names = ("pickup_zone", "passenger_count", "dropoff_zone", "trip_distance", "total_amount")
+    pickup = F.struct(*(F.col(c) if k < 2 else F.when(F.lit(False), F.col(c)).alias(c) for k, c in enumerate(names)))
+    dropoff = F.struct(*(F.col(c) if k >= 2 else F.when(F.lit(False), F.col(c)).alias(c) for k, c in enumerate(names)))
+    of = {c: F.col(value)[c] for c in names}
+    key, time = F.col("key"), F.col("event_time")
+    made = F.when(F.col("kind_rank") == PICKUP_RANK, pickup_payload(key, time, of["pickup_zone"], of["passenger_count"])).otherwise(
+        dropoff_payload(key, time, of["dropoff_zone"], of["trip_distance"], of["total_amount"]))
+    return pickup, dropoff, made
+
+
 def order_event_log(events: DataFrame) -> DataFrame:
     """Replay order: event time, dropoff before pickup, then key (O2)."""
     return events.orderBy("event_time", "kind_rank", "key")
@@ -116,5 +131,5 @@ def replay_positions(events: DataFrame, sequence_col: str = "sequence") -> DataF
     sizes = numbered.groupBy(part.alias("_range")).agg(F.count("*").alias("_size"))
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
     starts = sizes.select("_range", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
-    out = numbered.withColumn("_range", part).join(starts, "_range")
+    out = numbered.withColumn("_range", part).join(F.broadcast(starts), "_range")
     return out.select(*events.columns, (F.col("_start") + place).alias(sequence_col))

@@ -154,9 +154,13 @@ def run_publish_job(raw_trips: DataFrame, event_log_path: str, rules: Rules = DE
     spark, topics = raw_trips.sparkSession, (rules.pickup_topic, rules.dropoff_topic)
     if any(writers.topic_has_records(spark, t, bootstrap_servers, event_log_path) for t in topics):
         return False
-    with_ids = eventlog.assign_trip_ids(raw_trips)
-    log = _materialize(eventlog.replay_positions(eventlog.trip_events(with_ids, rules)))
-    for topic in topics:
-        own = log.where(F.col("topic") == topic)
-        writers.publish_topic(own, topic, bootstrap_servers, event_log_path, order=("sequence",), carry=("event_time", "sequence"))
+    # records are dealt and sorted without their texts: ids as bytes, which sort as their hex digits do
+    with_ids = eventlog.assign_trip_ids(raw_trips).withColumn("trip_id", F.unhex("trip_id"))
+    pickup, dropoff, payload = eventlog.payload_fields()
+    events = eventlog.trip_events(with_ids, rules, pickup, dropoff).drop("topic")
+    log = eventlog.replay_positions(events)  # reads a written table
+    for topic, rank in zip(topics, (eventlog.PICKUP_RANK, eventlog.DROPOFF_RANK), strict=True):
+        own = log.where(F.col("kind_rank") == rank)
+        writers.publish_topic(own, topic, bootstrap_servers, event_log_path, order=("sequence",), carry=("event_time", "sequence"),
+                              made=lambda d: d.withColumn("key", F.lower(F.hex("key"))).withColumn("value", payload))
     return True

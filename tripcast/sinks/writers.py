@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import os
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -230,20 +230,22 @@ def topic_has_records(spark: SparkSession, topic: str, bootstrap_servers: str |
 
 
 def publish_topic(df: DataFrame, topic: str, bootstrap_servers: str | None = None, fallback_path: str | None = None,
-                  order: Sequence[str] = (), carry: Sequence[str] = ()) -> bool:
+                  order: Sequence[str] = (), carry: Sequence[str] = (), made: Callable[[DataFrame], DataFrame] | None = None) -> bool:
     """Keyed publish (K-S8): key = trip id, value = JSON; False and nothing sent if the topic has records (K-S9).
 
     Without a broker the topic is a folder of Parquet files, which also keep ``carry``. ``order``: the
-    records of each file are in this order, and files hold ranges of it.
+    records of each file are in this order, and files hold ranges of it. ``made`` gives the records their
+    key and value after they were put in order, so that the sort carries only what these are made of.
     """
     if topic_has_records(df.sparkSession, topic, bootstrap_servers, fallback_path):
         return False
-    out = df.select(F.col("key").cast("string"), F.col("value").cast("string"), *(c for c in dict.fromkeys((*carry, *order))))
-    if order:
-        out = out.orderBy(*order)
+    out = df.orderBy(*order) if order else df
+    out = made(out) if made else out
+    out = out.select(F.col("key").cast("string"), F.col("value").cast("string"), *(c for c in dict.fromkeys((*carry, *order))))
     if bootstrap_servers:
         (out.select("key", "value").write.format("kafka").option("kafka.bootstrap.servers", bootstrap_servers)
          .option("topic", topic).option("kafka.acks", "all").save())
     else:
-        out.write.parquet(os.path.join(fallback_path, f"topic={topic}"))
+        # ids are random digits, which only a codec with entropy coding makes smaller
+        out.write.option("compression", "zstd").parquet(os.path.join(fallback_path, f"topic={topic}"))
     return True

@@ -145,10 +145,11 @@ def raw_trip_fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_shipdate")
     customer = load_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     supplier = load_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    # orders meet their customers first: line items, the largest table, are then dealt once less
+    ordered = orders.join(customer, orders.o_custkey == customer.c_custkey).drop("o_custkey", "c_custkey")
     j = (
-        lineitem.join(orders, lineitem.l_orderkey == orders.o_orderkey)
-        .join(customer, F.col("o_custkey") == customer.c_custkey)
-        .join(supplier, F.col("l_suppkey") == supplier.s_suppkey)
+        lineitem.join(supplier, lineitem.l_suppkey == supplier.s_suppkey)
+        .join(ordered, F.col("l_orderkey") == ordered.o_orderkey)
     )
     k = F.col("l_orderkey")
     amount = F.round(
